@@ -94,14 +94,11 @@ def inactivity_label(
     day = F.expr("interval 1 day")
     ends = F.array(*[F.lit(str(e)).cast("timestamp_ntz") for e in window_ends])
     latest = events.agg(F.max(ts)).scalar()
-    touched = F.filter(
-        ends,
-        lambda e: (ts >= e - day * window_days)
-        & (ts < e + day * horizon_days)
-        & (e + day * horizon_days <= latest),
-    )
-    seen = events.filter(F.col(user_col).isNotNull()).select(
-        F.col(user_col), ts.alias("__ts"), F.explode(touched).alias("window_end")
+    touched = F.filter(ends, lambda e: (ts >= e - day * window_days) & (ts < e + day * horizon_days))
+    seen = (
+        events.filter(F.col(user_col).isNotNull())
+        .select(F.col(user_col), ts.alias("__ts"), F.explode(touched).alias("window_end"))
+        .filter(F.col("window_end") + day * horizon_days <= latest)
     )
     return (
         seen.groupBy(user_col, "window_end")

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 RANGES = 512
+_STEP = 23
 
 
 def cut_points(df: DataFrame, group: Sequence[str], value: str, ranges: int = RANGES) -> DataFrame:
@@ -28,6 +29,9 @@ def cut_points(df: DataFrame, group: Sequence[str], value: str, ranges: int = RA
     bounds = df.groupBy(*[F.col(g).alias(f"__b_{g}") for g in group]).agg(
         F.array_distinct(sketch).alias("__bounds")
     )
+    # Every _STEP-th cut, so that a lookup compares about 2 * sqrt(ranges) numbers.
+    coarse = F.filter("__bounds", lambda b, i: i % _STEP == _STEP - 1)
+    bounds = bounds.withColumn("__coarse", coarse)
     return F.broadcast(df.sparkSession.createDataFrame(bounds.toArrow(), schema=bounds.schema))
 
 
@@ -36,8 +40,11 @@ def with_range(df: DataFrame, group: Sequence[str], value: str, bounds: DataFram
     match = F.lit(True)
     for g in group:
         match = match & F.col(g).eqNullSafe(F.col(f"__b_{g}"))
-    place = F.size(F.filter("__bounds", lambda b: b < F.col(value)))
-    return df.join(bounds, match).select(*[F.col(c) for c in df.columns], place.alias("__range"))
+    passed = F.size(F.filter("__coarse", lambda b: b < F.col(value))) * _STEP
+    joined = df.join(bounds, match).withColumn("__passed", passed)
+    nearby = F.slice("__bounds", F.col("__passed") + 1, F.lit(_STEP))
+    place = F.col("__passed") + F.size(F.filter(nearby, lambda b: b < F.col(value)))
+    return joined.select(*[F.col(c) for c in df.columns], place.alias("__range"))
 
 
 def running_before(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["sources", "casting", "tables"]
+MODULES = ["sources", "casting", "tables", "joining", "aggregating", "deriving", "labelling"]
 
 
 def load_all() -> None:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["sources", "casting", "tables", "joining", "aggregating", "deriving", "labelling"]
+MODULES = [
+    "sources", "casting", "tables", "joining", "aggregating", "deriving", "labelling",
+    "checking", "preparing", "modelling", "chains",
+]
 
 
 def load_all() -> None:

@@ -19,10 +19,11 @@ RANGE_BITS = 12
 
 def _ranked(
     df: DataFrame, label: str | None, id_cols: str | Iterable[str] | None, seed: int, range_bits: int
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame]:
     """Add ``__rank`` (1-based within the class) and ``__before`` (rows of smaller classes).
 
-    ``id_cols`` must identify a row; without them the whole row is hashed.
+    ``id_cols`` must identify a row; without them the whole row is hashed. Also
+    returns the class sizes (``__class``, ``n``), from the same counts.
     """
     ids = as_list(id_cols) or df.columns
     hashed = F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in ids], F.lit(seed)), 1)
@@ -45,7 +46,7 @@ def _ranked(
         F.coalesce(F.sum("n").over(overall), F.lit(0)).alias("__overall"),
     )
     numbered = Window.partitionBy("__class", "__range").orderBy("__hash", *ids)
-    return (
+    ranked = (
         keyed.join(
             F.broadcast(offsets),
             F.col("__class").eqNullSafe(F.col("__o_class")) & (F.col("__range") == F.col("__o_range")),
@@ -58,6 +59,7 @@ def _ranked(
             (F.col("__overall") - F.col("__offset")).alias("__before"),
         )
     )
+    return ranked, sizes.groupBy("__class").agg(F.sum("n").alias("n"))
 
 
 def kfold_assign(
@@ -71,7 +73,7 @@ def kfold_assign(
 ) -> DataFrame:
     """Add a fold number from 0; per class, and overall, fold sizes differ by at most one."""
     place = F.col("__before") + F.col("__rank") - 1
-    ranked = _ranked(df, label, id_cols, seed, range_bits)
+    ranked, _ = _ranked(df, label, id_cols, seed, range_bits)
     return ranked.select(*df.columns, F.pmod(place, F.lit(n_splits)).cast("int").alias(fold_col))
 
 
@@ -89,8 +91,8 @@ def holdout_split(
     Each class gives its proportional share, rounded by largest remainder. With
     ``label=None`` the split is plain random.
     """
-    klass = F.col(label) if label else F.lit(0)
-    classes = df.groupBy(klass.alias("__k")).agg(F.count(F.lit(1)).alias("n"))
+    ranked, classes = _ranked(df, label, id_cols, seed, range_bits)
+    classes = classes.withColumnRenamed("__class", "__k")
     # The windows below run over one row per class.
     everything = Window.partitionBy(F.lit(0))
     exact = F.col("n") * F.col("wanted") / F.col("total")
@@ -106,7 +108,6 @@ def holdout_split(
             (F.col("base") + (F.col("order") <= F.col("spare")).cast("int")).alias("__quota"),
         )
     )
-    ranked = _ranked(df, label, id_cols, seed, range_bits)
     return ranked.join(F.broadcast(quotas), F.col("__class").eqNullSafe(F.col("__k"))).select(
         *df.columns, (F.col("__rank") <= F.col("__quota")).alias(test_col)
     )

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lapsekit.operators.ranks import running_before
+from lapsekit.plans.sizing import SINGLE_TASK_BYTES
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -111,18 +112,18 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str, values: Sequenc
     return df.groupBy(label).agg(*cells)
 
 
-def _auc_per_class(scored: DataFrame) -> DataFrame:
+def _auc_per_class(scored: DataFrame, single_task_bytes: int) -> DataFrame:
     """AUC per ``class`` from (class, score, positive) rows; tied scores count half.
 
-    Rows are reduced to distinct scores, and the number of negatives below each
-    score comes from ranges of scores, never from one sorted task.
+    Rows are reduced to distinct scores. On large tables the number of negatives
+    below each score comes from ranges of scores, never from one sorted task.
     """
     counted = (
         scored.filter(F.col("score").isNotNull())
         .groupBy("class", "score")
         .agg(F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg"))
     )
-    below = running_before(counted, ["class"], "score", ["neg"])
+    below = running_before(counted, ["class"], "score", ["neg"], single_task_bytes=single_task_bytes)
     won = F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2)
     return below.groupBy("class").agg(
         F.try_divide(
@@ -132,17 +133,24 @@ def _auc_per_class(scored: DataFrame) -> DataFrame:
     )
 
 
-def roc_auc(df: DataFrame, label: str, score: str, positive: Any = 1) -> DataFrame:
+def roc_auc(
+    df: DataFrame, label: str, score: str, positive: Any = 1, single_task_bytes: int = SINGLE_TASK_BYTES
+) -> DataFrame:
     """One row: ``roc_auc`` of the score for the positive class; null without both classes."""
     scored = df.filter(F.col(label).isNotNull()).select(
         F.lit("1").alias("class"),
         F.col(score).cast("double").alias("score"),
         (F.col(label) == F.lit(positive)).alias("positive"),
     )
-    return _auc_per_class(scored).select(F.col("auc").alias("roc_auc"))
+    return _auc_per_class(scored, single_task_bytes).select(F.col("auc").alias("roc_auc"))
 
 
-def roc_auc_ovr(df: DataFrame, label: str, scores: Mapping[Any, str | Column]) -> DataFrame:
+def roc_auc_ovr(
+    df: DataFrame,
+    label: str,
+    scores: Mapping[Any, str | Column],
+    single_task_bytes: int = SINGLE_TASK_BYTES,
+) -> DataFrame:
     """One row: one-versus-rest AUC averaged with the class supports as weights.
 
     ``scores`` maps each class to the column holding its score.
@@ -158,7 +166,7 @@ def roc_auc_ovr(df: DataFrame, label: str, scores: Mapping[Any, str | Column]) -
     ]
     scored = df.filter(F.col(label).isNotNull()).select(F.explode(F.array(*sides)).alias("s")).select("s.*")
     weighted = F.sum(F.col("auc") * F.col("support")) / F.sum("support")
-    return _auc_per_class(scored).agg(weighted.alias("roc_auc_ovr_weighted"))
+    return _auc_per_class(scored, single_task_bytes).agg(weighted.alias("roc_auc_ovr_weighted"))
 
 
 def scoring_names(n_classes: int) -> list[str]:

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import IndexToString
@@ -18,6 +18,7 @@ from lapsekit.operators import metrics as M
 from lapsekit.operators.columns import as_list, feature_types
 from lapsekit.operators.features import preprocessor
 from lapsekit.operators.folds import holdout_split, kfold_assign
+from lapsekit.session import materialize
 
 LABEL = "__label"
 MAX_CLASSES = 1000
@@ -188,22 +189,17 @@ def cross_validate(config: Mapping[str, Any], df: DataFrame, parallelism: int =
     """
     target, seed = config["target"], int(config.get("random_state", 42))
     n_splits = int((config.get("cv") or {}).get("n_splits", 5))
-    classes = target_classes(df, target)
     pipeline, _, _ = build_pipeline(config, df)
-    folded = kfold_assign(df, target, config.get("id_cols"), n_splits, seed, "__fold").persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    folded = materialize(kfold_assign(df, target, config.get("id_cols"), n_splits, seed, "__fold"), "folds")
+    classes = target_classes(folded, target)
 
     def one(fold: int) -> list[dict[str, Any]]:
         model = fit_pipeline(pipeline, folded.filter(F.col("__fold") != fold), target, classes)
         scored = predict(model, folded.filter(F.col("__fold") == fold), keep=[target])
-        return evaluate(scored, target, classes).toArrow().to_pylist()
+        return evaluate(materialize(scored, "scored"), target, classes).toArrow().to_pylist()
 
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            results = list(pool.map(inheritable_thread_target(one), range(n_splits)))
-    finally:
-        folded.unpersist()
+    with ThreadPoolExecutor(parallelism) as pool:
+        results = list(pool.map(inheritable_thread_target(df.sparkSession)(one), range(n_splits)))
     rows = [(r["metric"], fold, r["value"]) for fold, found in enumerate(results) for r in found]
     per_fold = df.sparkSession.createDataFrame(rows, "metric string, fold int, value double")
     return per_fold.groupBy("metric").agg(F.avg("value").alias("value"))
@@ -211,7 +207,7 @@ def cross_validate(config: Mapping[str, Any], df: DataFrame, parallelism: int =
 
 @dataclass
 class FittedBaseline:
-    """Outcome of :func:`fit`; ``release`` frees the persisted split."""
+    """Outcome of :func:`fit`."""
 
     model: PipelineModel
     classes: list[Any]
@@ -220,26 +216,27 @@ class FittedBaseline:
     predictions: DataFrame
     metrics: DataFrame
     report: DataFrame
-    split: DataFrame
-
-    def release(self) -> None:
-        self.split.unpersist()
 
 
 def fit(config: Mapping[str, Any], df: DataFrame) -> FittedBaseline:
     """Fit on a stratified training part and evaluate on the held-out rest.
 
     ``predictions`` holds ids, ``y_true``, ``y_pred`` and ``proba_<class>`` of the
-    held-out rows; ``metrics`` holds accuracy, macro scores and the AUC.
+    held-out rows; ``metrics`` holds accuracy, macro scores and the AUC. The split
+    and the scored rows are written once to the shared folder, as both are read
+    several times.
     """
     target, ids = config["target"], as_list(config.get("id_cols"))
-    classes = target_classes(df, target)
     pipeline, numeric, categorical = build_pipeline(config, df)
-    split = holdout_split(
+    parted = holdout_split(
         df, target, ids, float(config.get("test_size", 0.2)), int(config.get("random_state", 42)), "__test"
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    split = materialize(parted, "split")
+    classes = target_classes(split, target)
     model = fit_pipeline(pipeline, split.filter(~F.col("__test")), target, classes)
-    scored = predict(model, split.filter("__test"), ids, keep=[] if target in ids else [target])
+    scored = materialize(
+        predict(model, split.filter("__test"), ids, keep=[] if target in ids else [target]), "scored"
+    )
     text = scored.withColumn("__truth", F.col(target).cast("string"))
     basic = M.classification_metrics(text, "__truth", "prediction")
     names = basic.columns
@@ -261,7 +258,6 @@ def fit(config: Mapping[str, Any], df: DataFrame) -> FittedBaseline:
         predictions,
         basic.unionByName(ranked),
         M.classification_report(text, "__truth", "prediction"),
-        split,
     )
 
 

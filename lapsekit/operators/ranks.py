@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from lapsekit.plans.sizing import SINGLE_TASK_BYTES, fits
+
 RANGES = 512
 _STEP = 23
 
@@ -53,11 +55,16 @@ def running_before(
     value: str,
     amounts: Sequence[str],
     ranges: int = RANGES,
+    single_task_bytes: int = SINGLE_TASK_BYTES,
 ) -> DataFrame:
     """Add ``<amount>_before``: the sum of the amount over strictly smaller values.
 
     ``df`` holds one row per (group, value), such as the result of a grouped count.
+    A frame estimated to fit one task is accumulated by a plain window.
     """
+    if fits(df, single_task_bytes):
+        smaller = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({f"{a}_before": F.coalesce(F.sum(a).over(smaller), F.lit(0)) for a in amounts})
     ranged = with_range(df, group, value, cut_points(df, group, value, ranges))
     per_range = ranged.groupBy(*group, "__range").agg(*[F.sum(a).alias(f"__{a}") for a in amounts])
     earlier = Window.partitionBy(*group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)

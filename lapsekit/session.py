@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Every entry is an ordinary Spark setting; a caller may override any of them.
 RECOMMENDED = {
@@ -43,3 +43,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = os.path.join(tempfile.gettempdir(), "lapsekit")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    For frames that are used many times (a training table, scored rows): the work
+    behind them is done once, the plan starts from files again, and a lost
+    executor costs no recomputation. The files stay until the folder is cleaned.
+    """
+    place = shared_folder(df.sparkSession, purpose) + ".parquet"
+    df.write.parquet(place)
+    return df.sparkSession.read.parquet(place)

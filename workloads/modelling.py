@@ -162,6 +162,11 @@ def roc_auc(spark, d):
     return rounded(M.roc_auc(_scored(spark, d), "truth", "score"), ["roc_auc"], 9)
 
 
+@query("roc_auc_by_ranges", f"SELECT round(auc, 9) AS roc_auc FROM ({_auc_sql('truth = 1', 'score', DUCK_SCORED)})")
+def roc_auc_by_ranges(spark, d):
+    return rounded(M.roc_auc(_scored(spark, d), "truth", "score", single_task_bytes=0), ["roc_auc"], 9)
+
+
 @query(
     "roc_auc_ties",
     f"SELECT round(auc, 9) AS roc_auc FROM ({_auc_sql('truth = 1', 'score_a', DUCK_SCORED)})",

@@ -57,11 +57,12 @@ def create_churn_label(
         kept = df.filter(F.col(filter_status_col).isin(as_list(keep_statuses)))
     dated = kept.select(F.col(customer_col).alias("__customer"), _moment(df.schema[purchase_ts_col]).alias("__ts"))
 
+    last = dated.groupBy("__customer").agg(F.max("__ts").alias("__last"))
     if reference_date is None or (isinstance(reference_date, str) and reference_date == "max"):
-        reference = dated.agg(F.max("__ts")).scalar()
+        # Taken from the per-customer maxima (null customers included), so both share one shuffle.
+        reference = last.agg(F.max("__last")).scalar()
     else:
         reference = F.lit(str(reference_date)).cast("timestamp_ntz")
-    last = dated.filter(F.col("__customer").isNotNull()).groupBy("__customer").agg(F.max("__ts").alias("__last"))
     overdue = F.coalesce(days_between(F.col("__last"), reference) > horizon_days, F.lit(False))
     labels = last.select("__customer", overdue.cast("int").alias(target_col))
     return df.join(labels, F.col(customer_col) == F.col("__customer"), "left").drop("__customer")

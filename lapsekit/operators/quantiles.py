@@ -1,9 +1,10 @@
-"""Exact quantiles with linear interpolation.
+"""Exact quantiles with linear interpolation, at any size.
 
 Spark's ``percentile`` is exact but keeps every distinct value of the column in
-one task. It is used while the table is small; beyond that the values are
-counted, cut into ranges, and only the ranges holding a wanted rank are sorted.
-Both ways give the same numbers.
+one task. Here a sketch first brackets each wanted quantile by two values; its
+error is bounded, so the brackets hold all but a sliver of the rows outside.
+Then one aggregate counts the rows between brackets as single groups and the
+values inside brackets one by one. The shuffle carries only those groups.
 """
 
 from __future__ import annotations
@@ -12,96 +13,108 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lapsekit.operators.ranks import RANGES, cut_points, with_range
-from lapsekit.plans.sizing import SINGLE_TASK_BYTES, fits
-
-
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(``name``, ``value``) rows of the present numbers."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in cols])
-    return (
-        df.select(F.explode(pairs).alias("p"))
-        .select("p.name", "p.value")
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    )
-
-
-def _single_pass(df: DataFrame, cols: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    clean = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols]
-    row = df.agg(*[F.percentile(v, list(probabilities)).alias(f"q{i}") for i, v in enumerate(clean)])
-    entries = [F.struct(F.lit(c).alias("name"), F.col(f"q{i}").alias("quantiles")) for i, c in enumerate(cols)]
-    return row.select(F.explode(F.array(*entries)).alias("p")).select("p.name", "p.quantiles")
-
-
-def _by_rank(df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], ranges: int) -> DataFrame:
-    values = _long(df, cols)
-    bounds = cut_points(values, ["name"], "value", ranges)
-    # Equal values merge in the map tasks; both branches below read this one shuffle.
-    counted = values.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranged = with_range(counted, ["name"], "value", bounds)
-    per_range = ranged.groupBy("name", "__range").agg(F.sum("n").alias("n"))
-    by_name = Window.partitionBy("name")
-    running = by_name.orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = per_range.select(
-        "name",
-        "__range",
-        (F.sum("n").over(running) - F.col("n")).alias("start"),
-        F.sum("n").over(running).alias("end"),
-        F.sum("n").over(by_name).alias("total"),
-    )
-    wanted = F.explode(
-        F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
+# Sketch size. The brackets hold about 6 * len(probabilities) / ACCURACY of the rows;
+# raise it (up to a million) where that is still many rows.
+ACCURACY = 10_000
+_MARGIN = 3
+
+Bracket = tuple[float, float]
+
+
+def _clean(c: str) -> Column:
+    value = F.col(c).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def _brackets(
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], accuracy: int
+) -> dict[str, list[Bracket]]:
+    """Disjoint, ascending value ranges that hold the wanted ranks; two numbers per quantile are fetched."""
+    margin = _MARGIN / accuracy
+    around = [min(1.0, max(0.0, p + side * margin)) for p in sorted(probabilities) for side in (-1, 1)]
+    row = df.agg(*[F.percentile_approx(_clean(c), around, accuracy).alias(f"b{i}") for i, c in enumerate(cols)]).first()
+    found: dict[str, list[Bracket]] = {}
+    for i, c in enumerate(cols):
+        if row[f"b{i}"] is None:
+            continue
+        merged: list[Bracket] = []
+        for low, high in sorted(zip(row[f"b{i}"][::2], row[f"b{i}"][1::2])):
+            if merged and low <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+            else:
+                merged.append((low, high))
+        found[c] = merged
+    return found
+
+
+def _segment(value: Column, brackets: Sequence[Bracket]) -> Column:
+    """0, 2, 4, ... between brackets and 1, 3, 5, ... inside them, in value order."""
+    place = F.lit(0)
+    for low, high in brackets:
+        place = place + (value >= low).cast("int") + (value > high).cast("int")
+    return place
+
+
+def _at_rank(rank: Column) -> Column:
+    """The value at a 0-based rank, from groups of equal or bracketed-out values."""
+    missed = F.raise_error(F.lit("quantile outside its bracket; raise the accuracy")).cast("double")
+    value = (
+        F.when(F.col("lo") == F.col("hi"), F.col("lo"))
+        .when(rank == F.col("start"), F.col("lo"))
+        .when(rank == F.col("end") - 1, F.col("hi"))
+        .otherwise(missed)
     )
-    position = F.col("w.p") * (F.col("total") - 1)
-    targets = (
-        ends.withColumn("w", wanted)
-        .withColumn("position", position)
-        .filter((F.floor("position") < F.col("end")) & (F.ceil("position") >= F.col("start")))
-        .groupBy("name", "__range", "start")
-        .agg(F.collect_list(F.struct(F.col("w.i").alias("i"), "position")).alias("targets"))
-        .select(F.col("name").alias("t_name"), F.col("__range").alias("t_range"), "start", "targets")
-    )
-    # At most two ranges per column and probability: the bound on the broadcast table.
-    picked = ranged.join(
-        F.broadcast(targets), (F.col("name") == F.col("t_name")) & (F.col("__range") == F.col("t_range"))
-    )
-    inside = Window.partitionBy("name", "__range").orderBy("value")
-    upto = F.col("start") + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hits = (
-        picked.withColumn("last", upto)
-        .select("name", "value", (F.col("last") - F.col("n")).alias("first"), "last", F.explode("targets").alias("t"))
-        .filter(
-            (F.floor("t.position").between(F.col("first"), F.col("last") - 1))
-            | (F.ceil("t.position").between(F.col("first"), F.col("last") - 1))
-        )
-    )
-    share = F.col("position") - F.floor("position")
-    ends_per_target = hits.groupBy("name", F.col("t.i").alias("i"), F.col("t.position").alias("position")).agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi")
-    )
-    value = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(
-        (1 - share) * F.col("lo") + share * F.col("hi")
-    )
-    in_order = F.array_sort(F.collect_list(F.struct("i", value.alias("v"))))
-    return ends_per_target.groupBy("name").agg(F.transform(in_order, lambda e: e["v"]).alias("quantiles"))
+    return F.max(F.when((rank >= F.col("start")) & (rank < F.col("end")), value))
 
 
 def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probabilities: Sequence[float],
-    single_task_bytes: int = SINGLE_TASK_BYTES,
-    ranges: int = RANGES,
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], accuracy: int = ACCURACY
 ) -> DataFrame:
     """One row per column: ``name`` and ``quantiles``, an array in the order asked for.
 
-    Nulls and NaN are skipped. A column without values has a null array, or no row
-    in the distributed form.
+    Nulls and NaN are skipped; a column without values has no row. The bracketing
+    sketch runs at once, the rest when the result is used.
     """
-    narrow = df.select(*cols)
-    if fits(narrow, single_task_bytes):
-        return _single_pass(narrow, cols, probabilities)
-    return _by_rank(narrow, cols, probabilities, ranges)
+    brackets = _brackets(df, cols, probabilities, accuracy)
+    if not brackets:
+        return df.sparkSession.createDataFrame([], "name string, quantiles array<double>")
+    rows = [
+        F.struct(F.lit(c).alias("name"), _segment(_clean(c), b).alias("segment"), _clean(c).alias("value"))
+        for c, b in brackets.items()
+    ]
+    inside = F.when(F.col("segment") % 2 == 1, F.col("value"))
+    groups = (
+        df.select(F.explode(F.array(*rows)).alias("r"))
+        .select("r.*")
+        .filter(F.col("value").isNotNull())
+        .groupBy("name", "segment", inside.alias("at"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    )
+    by_name = Window.partitionBy("name")
+    before = (Window.unboundedPreceding, -1)
+    # One row per column and segment.
+    offsets = groups.groupBy("name", "segment").agg(F.sum("n").alias("n")).select(
+        F.col("name").alias("o_name"),
+        F.col("segment").alias("o_segment"),
+        F.coalesce(F.sum("n").over(by_name.orderBy("segment").rowsBetween(*before)), F.lit(0)).alias("offset"),
+        F.sum("n").over(by_name).alias("total"),
+    )
+    placed = groups.join(
+        F.broadcast(offsets), (F.col("name") == F.col("o_name")) & (F.col("segment") == F.col("o_segment"))
+    )
+    in_segment = Window.partitionBy("name", "segment").orderBy("at").rowsBetween(*before)
+    start = F.col("offset") + F.coalesce(F.sum("n").over(in_segment), F.lit(0))
+    ranked = placed.select("name", "lo", "hi", "total", start.alias("start"), (start + F.col("n")).alias("end"))
+
+    picks, values = [], []
+    for i, p in enumerate(probabilities):
+        position = F.lit(float(p)) * (F.col("total") - 1)
+        picks += [_at_rank(F.floor(position)).alias(f"lo{i}"), _at_rank(F.ceil(position)).alias(f"hi{i}")]
+        low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
+        share = position - F.floor(position)
+        values.append(F.when(low == high, low).otherwise(low + (high - low) * share))
+    ends = ranked.groupBy("name").agg(F.max("total").alias("total"), *picks)
+    return ends.select("name", F.array(*values).alias("quantiles"))
 
 
 def quantile_column(df: DataFrame, col: str, probability: float) -> Column:

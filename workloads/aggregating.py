@@ -162,7 +162,7 @@ _PROBABILITIES = [0.0, 0.001, 0.25, 1 / 3, 0.5, 0.9, 0.999, 1.0]
 def quantiles_by_rank(spark, d):
     lines = table(spark, d, "lineitem")
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"]
-    found = exact_quantiles(lines, cols, _PROBABILITIES, single_task_bytes=0)
+    found = exact_quantiles(lines, cols, _PROBABILITIES)
     listed = found.select("name", F.posexplode("quantiles").alias("place", "value"))
     return listed.select("name", F.round("value", 6).alias("value"), "place")
 

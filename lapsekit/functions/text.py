@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # (?U) makes \s cover Unicode spaces such as the no-break space; the four
 # separator controls are whitespace in Python but not in Java's class.
@@ -17,7 +17,7 @@ def snake_lower(col: Column) -> Column:
     return F.regexp_replace(F.lower(col.cast("string")), WHITESPACE_RUN, "_")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without_marks(values: pd.Series) -> pd.Series:
     def plain(text):
         if text is None:

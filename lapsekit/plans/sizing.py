@@ -1,8 +1,9 @@
 """Choosing a plan by the size Catalyst already knows.
 
-Nothing here runs a job: the optimiser keeps a byte estimate for every plan
-(file sizes for scans, never too small for what follows them). Where no estimate
-is available the answer is "large", which always has a distributed plan.
+The optimiser keeps a byte estimate for every plan. It starts from file sizes,
+which are compressed, so the limits below leave room for data several times
+larger in memory. Where no estimate is available the answer is "large", which
+always has a distributed plan. :func:`measured_lookup` measures instead of estimating.
 """
 
 from __future__ import annotations
@@ -10,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 # Below this a broadcast copy per executor is cheap.
-BROADCAST_BYTES = 64 * 1024 * 1024
-# Below this one task may hold every distinct value of a column.
-SINGLE_TASK_BYTES = 128 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
+# Below this one task may sort a whole column.
+SINGLE_TASK_BYTES = 64 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:

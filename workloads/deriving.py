@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from lapsekit.functions.text import prefix, strip_accents
 from lapsekit.operators import derive as D
@@ -72,7 +72,7 @@ def rowwise_multi(spark, d):
     return rounded(rounded(made, ["spread", "deviation"], 5), ["middle"])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _span(a: pd.Series, b: pd.Series) -> pd.Series:
     return (a - b).abs()
 

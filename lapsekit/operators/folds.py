@@ -2,8 +2,9 @@
 
 Rows are ordered by a hash of their identity, so a split depends on the data and
 the seed and not on the partitioning. The rank of a row within its class is
-found without one task per class: hash ranges are counted, the few range totals
-are accumulated, and rows are numbered inside a range.
+found without one task per class: hash ranges are counted, the range totals are
+accumulated, and rows are numbered inside a range. The numbering and the join
+with the totals use the same keys, so the rows are shuffled once.
 """
 
 from __future__ import annotations
@@ -15,51 +16,42 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lapsekit.operators.columns import as_list
 
 RANGE_BITS = 12
+_BY_RANGE = ["__class", "__range"]
 
 
-def _ranked(
-    df: DataFrame, label: str | None, id_cols: str | Iterable[str] | None, seed: int, range_bits: int
-) -> tuple[DataFrame, DataFrame]:
-    """Add ``__rank`` (1-based within the class) and ``__before`` (rows of smaller classes).
-
-    ``id_cols`` must identify a row; without them the whole row is hashed. Also
-    returns the class sizes (``__class``, ``n``), from the same counts.
-    """
-    ids = as_list(id_cols) or df.columns
+def _keyed(df: DataFrame, label: str | None, ids: list[str], seed: int, range_bits: int) -> DataFrame:
+    """Add the class as non-null text, the hash that orders rows, and the hash's range."""
     hashed = F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in ids], F.lit(seed)), 1)
-    klass = F.col(label) if label else F.lit(0)
-    keyed = df.withColumns({"__class": klass, "__hash": hashed}).withColumn(
+    klass = F.coalesce(F.col(label).cast("string"), F.lit("(null)")) if label else F.lit("")
+    return df.withColumns({"__class": klass, "__hash": hashed}).withColumn(
         "__range", F.shiftright("__hash", 63 - range_bits)
     )
-    sizes = keyed.groupBy("__class", "__range").agg(F.count(F.lit(1)).alias("n"))
-    in_class = Window.partitionBy("__class").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _offsets(keyed: DataFrame) -> DataFrame:
+    """Per class and range: rows of earlier ranges in the class, rows of earlier classes, class size."""
+    sizes = keyed.groupBy(*_BY_RANGE).agg(F.count(F.lit(1)).alias("n"))
+    in_class = Window.partitionBy("__class")
+    before = (Window.unboundedPreceding, -1)
     # One running total over classes x 2^range_bits rows at most.
-    overall = (
-        Window.partitionBy(F.lit(0))
-        .orderBy("__class", "__range")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = sizes.select(
-        F.col("__class").alias("__o_class"),
-        F.col("__range").alias("__o_range"),
-        F.coalesce(F.sum("n").over(in_class), F.lit(0)).alias("__offset"),
-        F.coalesce(F.sum("n").over(overall), F.lit(0)).alias("__overall"),
+    overall = Window.partitionBy(F.lit(0)).orderBy(*_BY_RANGE).rowsBetween(*before)
+    offset = F.coalesce(F.sum("n").over(in_class.orderBy("__range").rowsBetween(*before)), F.lit(0))
+    return sizes.select(
+        *_BY_RANGE,
+        offset.alias("__offset"),
+        (F.coalesce(F.sum("n").over(overall), F.lit(0)) - offset).alias("__before"),
+        F.sum("n").over(in_class).alias("__size"),
     )
-    numbered = Window.partitionBy("__class", "__range").orderBy("__hash", *ids)
-    ranked = (
-        keyed.join(
-            F.broadcast(offsets),
-            F.col("__class").eqNullSafe(F.col("__o_class")) & (F.col("__range") == F.col("__o_range")),
-        )
+
+
+def _ranked(keyed: DataFrame, offsets: DataFrame, ids: list[str]) -> DataFrame:
+    """Add ``__rank``, 1-based within the class, and the columns of ``offsets``."""
+    numbered = Window.partitionBy(*_BY_RANGE).orderBy("__hash", *ids)
+    return (
+        keyed.join(offsets, _BY_RANGE)
         .withColumn("__number", F.row_number().over(numbered))
-        .select(
-            *[F.col(c) for c in df.columns],
-            "__class",
-            (F.col("__offset") + F.col("__number")).alias("__rank"),
-            (F.col("__overall") - F.col("__offset")).alias("__before"),
-        )
+        .withColumn("__rank", F.col("__offset") + F.col("__number"))
     )
-    return ranked, sizes.groupBy("__class").agg(F.sum("n").alias("n"))
 
 
 def kfold_assign(
@@ -71,9 +63,14 @@ def kfold_assign(
     fold_col: str = "fold",
     range_bits: int = RANGE_BITS,
 ) -> DataFrame:
-    """Add a fold number from 0; per class, and overall, fold sizes differ by at most one."""
+    """Add a fold number from 0; per class, and overall, fold sizes differ by at most one.
+
+    ``id_cols`` must identify a row; without them the whole row is hashed.
+    """
+    ids = as_list(id_cols) or df.columns
+    keyed = _keyed(df, label, ids, seed, range_bits)
     place = F.col("__before") + F.col("__rank") - 1
-    ranked, _ = _ranked(df, label, id_cols, seed, range_bits)
+    ranked = _ranked(keyed, _offsets(keyed), ids)
     return ranked.select(*df.columns, F.pmod(place, F.lit(n_splits)).cast("int").alias(fold_col))
 
 
@@ -89,25 +86,28 @@ def holdout_split(
     """Add a test flag on exactly ``ceil(test_size * n)`` rows.
 
     Each class gives its proportional share, rounded by largest remainder. With
-    ``label=None`` the split is plain random.
+    ``label=None`` the split is plain random. ``id_cols`` must identify a row;
+    without them the whole row is hashed.
     """
-    ranked, classes = _ranked(df, label, id_cols, seed, range_bits)
-    classes = classes.withColumnRenamed("__class", "__k")
+    ids = as_list(id_cols) or df.columns
+    keyed = _keyed(df, label, ids, seed, range_bits)
+    offsets = _offsets(keyed)
+    if label is None:
+        rows_wanted = F.ceil(F.round(F.sum("n") * float(test_size), 9))
+        quota = keyed.groupBy(*_BY_RANGE).agg(F.count(F.lit(1)).alias("n")).agg(rows_wanted).scalar()
+        return _ranked(keyed, offsets, ids).select(*df.columns, (F.col("__rank") <= quota).alias(test_col))
     # The windows below run over one row per class.
     everything = Window.partitionBy(F.lit(0))
-    exact = F.col("n") * F.col("wanted") / F.col("total")
+    remainder = F.col("share") - F.col("base")
     quotas = (
-        classes.withColumn("total", F.sum("n").over(everything))
+        offsets.groupBy("__class").agg(F.max("__size").alias("n"))
+        .withColumn("total", F.sum("n").over(everything))
         .withColumn("wanted", F.ceil(F.round(F.col("total") * float(test_size), 9)))
-        .withColumn("share", exact)
+        .withColumn("share", F.col("n") * F.col("wanted") / F.col("total"))
         .withColumn("base", F.floor("share"))
-        .withColumn("order", F.row_number().over(everything.orderBy(F.desc(F.col("share") - F.col("base")), "__k")))
+        .withColumn("order", F.row_number().over(everything.orderBy(F.desc(remainder), "__class")))
         .withColumn("spare", F.col("wanted") - F.sum("base").over(everything))
-        .select(
-            F.col("__k"),
-            (F.col("base") + (F.col("order") <= F.col("spare")).cast("int")).alias("__quota"),
-        )
-    )
-    return ranked.join(F.broadcast(quotas), F.col("__class").eqNullSafe(F.col("__k"))).select(
-        *df.columns, (F.col("__rank") <= F.col("__quota")).alias(test_col)
+        .select("__class", (F.col("base") + (F.col("order") <= F.col("spare")).cast("int")).alias("__quota"))
     )
+    ranked = _ranked(keyed, offsets.join(quotas, "__class"), ids)
+    return ranked.select(*df.columns, (F.col("__rank") <= F.col("__quota")).alias(test_col))

@@ -34,16 +34,22 @@ def cut_points(df: DataFrame, group: Sequence[str], value: str, ranges: int = RA
     # Every _STEP-th cut, so that a lookup compares about 2 * sqrt(ranges) numbers.
     coarse = F.filter("__bounds", lambda b, i: i % _STEP == _STEP - 1)
     bounds = bounds.withColumn("__coarse", coarse)
-    return F.broadcast(df.sparkSession.createDataFrame(bounds.toArrow(), schema=bounds.schema))
+    return df.sparkSession.createDataFrame(bounds.toArrow(), schema=bounds.schema)
 
 
 def with_range(df: DataFrame, group: Sequence[str], value: str, bounds: DataFrame) -> DataFrame:
     """Add ``__range``: how many cut points of its group lie below the value."""
-    match = F.lit(True)
-    for g in group:
-        match = match & F.col(g).eqNullSafe(F.col(f"__b_{g}"))
+    only = bounds.limit(2).collect()
+    if len(only) == 1:
+        # A single group needs no join.
+        joined = df.withColumns({c: F.lit(only[0][c]) for c in ("__bounds", "__coarse")})
+    else:
+        match = F.lit(True)
+        for g in group:
+            match = match & F.col(g).eqNullSafe(F.col(f"__b_{g}"))
+        joined = df.join(F.broadcast(bounds), match)
     passed = F.size(F.filter("__coarse", lambda b: b < F.col(value))) * _STEP
-    joined = df.join(bounds, match).withColumn("__passed", passed)
+    joined = joined.withColumn("__passed", passed)
     nearby = F.slice("__bounds", F.col("__passed") + 1, F.lit(_STEP))
     place = F.col("__passed") + F.size(F.filter(nearby, lambda b: b < F.col(value)))
     return joined.select(*[F.col(c) for c in df.columns], place.alias("__range"))

@@ -29,16 +29,16 @@ def profile_numeric(spark, d):
 @query(
     "profile_categories",
     f"""SELECT 'priority' AS name, 'string' AS dtype, count(*) FILTER (priority IS NULL) / count(*)::DOUBLE AS null_rate,
-               list_sort(list(DISTINCT priority) FILTER (priority IS NOT NULL)) AS categories,
+               array_to_string(list_sort(list(DISTINCT priority) FILTER (priority IS NOT NULL)), '|') AS categories,
                NULL::TIMESTAMP AS earliest, NULL::TIMESTAMP AS latest FROM ({DUCK_DIRTY})
-        UNION ALL SELECT 'status', 'string', 0.0, list_sort(list(DISTINCT status)), NULL, NULL FROM ({DUCK_DIRTY})
+        UNION ALL SELECT 'status', 'string', 0.0, array_to_string(list_sort(list(DISTINCT status)), '|'), NULL, NULL FROM ({DUCK_DIRTY})
         UNION ALL SELECT 'placed', 'datetime64', 0.0, NULL, min(o_orderdate), max(o_orderdate) FROM orders""",
 )
 def profile_categories(spark, d):
     dates = table(spark, d, "orders").selectExpr("o_orderkey", "o_orderdate AS placed")
     df = dirty_orders(spark, d).select("o_orderkey", "priority", "status").join(dates, "o_orderkey")
     return P.profile(df, ["priority", "status", "placed"]).select(
-        "name", "dtype", "null_rate", "categories", "earliest", "latest"
+        "name", "dtype", "null_rate", F.array_join("categories", "|").alias("categories"), "earliest", "latest"
     )
 
 
@@ -97,7 +97,7 @@ _CHECKS = {
     ],
 }
 _STRUCTURE = """SELECT 'o_clerk' AS name, 'missing_column' AS check, count(*) / count(*)::DOUBLE AS observed,
-        0.0 AS threshold, false AS passed FROM orders
+        0.0::DOUBLE AS threshold, false AS passed FROM orders
     UNION ALL SELECT 'o_custkey', 'extra_column', 1.0, 0.0, false"""
 
 

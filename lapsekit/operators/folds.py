@@ -14,11 +14,20 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lapsekit.operators.columns import as_list
+from lapsekit.plans.sizing import fits
 
+# Hash ranges per class, as a power of two. The split itself does not depend on it.
 RANGE_BITS = 12
+LARGE_RANGE_BITS = 18
+_LARGE_BYTES = 1 << 40
 _BY_RANGE = ["__class", "__range"]
 
 
+def range_bits_for(df: DataFrame) -> int:
+    """More and smaller ranges for tables that are large, or of unknown size."""
+    return RANGE_BITS if fits(df, _LARGE_BYTES) else LARGE_RANGE_BITS
+
+
 def _keyed(df: DataFrame, label: str | None, ids: list[str], seed: int, range_bits: int) -> DataFrame:
     """Add the class as non-null text, the hash that orders rows, and the hash's range."""
     hashed = F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in ids], F.lit(seed)), 1)
@@ -61,14 +70,14 @@ def kfold_assign(
     n_splits: int = 5,
     seed: int = 42,
     fold_col: str = "fold",
-    range_bits: int = RANGE_BITS,
+    range_bits: int | None = None,
 ) -> DataFrame:
     """Add a fold number from 0; per class, and overall, fold sizes differ by at most one.
 
     ``id_cols`` must identify a row; without them the whole row is hashed.
     """
     ids = as_list(id_cols) or df.columns
-    keyed = _keyed(df, label, ids, seed, range_bits)
+    keyed = _keyed(df, label, ids, seed, range_bits or range_bits_for(df))
     place = F.col("__before") + F.col("__rank") - 1
     ranked = _ranked(keyed, _offsets(keyed), ids)
     return ranked.select(*df.columns, F.pmod(place, F.lit(n_splits)).cast("int").alias(fold_col))
@@ -81,7 +90,7 @@ def holdout_split(
     test_size: float = 0.2,
     seed: int = 42,
     test_col: str = "is_test",
-    range_bits: int = RANGE_BITS,
+    range_bits: int | None = None,
 ) -> DataFrame:
     """Add a test flag on exactly ``ceil(test_size * n)`` rows.
 
@@ -90,7 +99,7 @@ def holdout_split(
     without them the whole row is hashed.
     """
     ids = as_list(id_cols) or df.columns
-    keyed = _keyed(df, label, ids, seed, range_bits)
+    keyed = _keyed(df, label, ids, seed, range_bits or range_bits_for(df))
     offsets = _offsets(keyed)
     if label is None:
         rows_wanted = F.ceil(F.round(F.sum("n") * float(test_size), 9))

@@ -13,9 +13,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Sketch size. The brackets hold about 6 * len(probabilities) / ACCURACY of the rows;
-# raise it (up to a million) where that is still many rows.
+from lapsekit.plans.sizing import estimated_bytes
+
+# Sketch size: each bracket holds about 2 * _MARGIN / accuracy of the rows.
 ACCURACY = 10_000
+MAX_ACCURACY = 1_000_000
+# The sketch is refined with the table so that a bracket stays near this many rows.
+_BRACKET_ROWS = 1_000_000
 _MARGIN = 3
 
 Bracket = tuple[float, float]
@@ -67,14 +71,24 @@ def _at_rank(rank: Column) -> Column:
     return F.max(F.when((rank >= F.col("start")) & (rank < F.col("end")), value))
 
 
+def accuracy_for(df: DataFrame, cols: Sequence[str]) -> int:
+    """Sketch size for a table, from the optimiser's estimate of its rows."""
+    size = estimated_bytes(df.select(*cols))
+    if size is None:
+        return MAX_ACCURACY
+    rows = size / (8 * len(cols))
+    return int(min(MAX_ACCURACY, max(ACCURACY, 2 * _MARGIN * rows / _BRACKET_ROWS)))
+
+
 def exact_quantiles(
-    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], accuracy: int = ACCURACY
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], accuracy: int | None = None
 ) -> DataFrame:
     """One row per column: ``name`` and ``quantiles``, an array in the order asked for.
 
     Nulls and NaN are skipped; a column without values has no row. The bracketing
     sketch runs at once, the rest when the result is used.
     """
+    accuracy = accuracy or accuracy_for(df, cols)
     brackets = _brackets(df, cols, probabilities, accuracy)
     if not brackets:
         return df.sparkSession.createDataFrame([], "name string, quantiles array<double>")

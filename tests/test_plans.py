@@ -63,3 +63,18 @@ def test_label_shares_its_aggregate(spark, sf_dir):
     df = QUERIES["churn_label"](spark, sf_dir)
     df.write.format("noop").mode("overwrite").save()
     assert "Subquery" in plan_of(df)
+
+
+def test_sketches_and_ranges_grow_with_the_table(spark, monkeypatch):
+    from lapsekit.operators import folds, quantiles
+    from lapsekit.plans import sizing
+
+    df = spark.range(10).selectExpr("CAST(id AS DOUBLE) AS x")
+    assert quantiles.accuracy_for(df, ["x"]) == quantiles.ACCURACY
+    assert folds.range_bits_for(df) == folds.RANGE_BITS
+    for module in (quantiles, sizing):
+        monkeypatch.setattr(module, "estimated_bytes", lambda frame: 100 * 10**12)
+    assert quantiles.accuracy_for(df, ["x"]) == quantiles.MAX_ACCURACY
+    assert folds.range_bits_for(df) == folds.LARGE_RANGE_BITS
+    assert quantiles.exact_quantiles(df, ["x"], [0.5]).first()["quantiles"] == [4.5]
+    assert folds.kfold_assign(df, None, "x", 5).groupBy("fold").count().count() == 5

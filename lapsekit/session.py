@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,17 +29,14 @@ def build_session(app_name: str = "lapsekit", master: str | None = None, **setti
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path in the folder that all executors can reach.
+    """A fresh path in a folder that the driver and all executors can reach.
 
-    The folder is the one named by ``spark.checkpoint.dir``. Where it is unset a
-    temporary folder is used, but only on a local master: executors on other
-    machines could not read it.
+    The folder is the one named by ``spark.checkpoint.dir``; where that is unset it
+    is the session's warehouse. A machine-local folder is never made up here.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = os.path.join(tempfile.gettempdir(), "lapsekit")
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -13,7 +13,8 @@ SF_DIR = os.environ.get("LAPSEKIT_TEST_SF", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = build_session(
         "tests",
         "local[8]",
@@ -21,6 +22,8 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": f"file://{shared}",
+            "spark.sql.warehouse.dir": f"file://{shared}/warehouse",
             "spark.ui.showConsoleProgress": "false",
         },
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lapsekit.llm.decontamination import contaminated
 from lapsekit.llm.minhash import near_duplicates
 from lapsekit.llm.registry import query, table
 
@@ -32,3 +33,8 @@ FROM s JOIN (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY 1) m USIN
 @query("op4_minhash_near_dedup", OP4_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+@query("op8_benchmark_decontamination")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -6,7 +6,9 @@ from importlib import import_module
 
 from lapsekit.llm.registry import ORACLES, QUERIES
 
-MODULES = ["dedup_queries", "rewriting_queries", "scoring_queries", "pipeline_queries"]
+MODULES = [
+    "conversation_queries", "dedup_queries", "rewriting_queries", "scoring_queries", "pipeline_queries",
+]
 
 for _name in MODULES:
     import_module(f"lapsekit.llm.{_name}")

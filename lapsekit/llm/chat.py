@@ -2,8 +2,9 @@
 
 Each turn is rendered as ``### ``, the role, ``</role>``, a line break, the text,
 ``</turn>`` and a line break. Inside roles and texts a backslash sets apart two ``#``
-in a row, the slash of ``</role>`` and ``</turn>`` and every backslash, so no mark can
-occur there, and the escape is undone exactly.
+in a row, the slash of ``</role>`` and ``</turn>``, the bar of ``<|`` (which begins the
+tokenizer's own control tokens) and every backslash, so no mark can occur there, and
+the escape is undone exactly.
 
 The rendered conversation is encoded once. The tokenizer reports the characters each
 token covers; the spans of the assistants' texts are sorted too, so two binary searches
@@ -29,7 +30,7 @@ BLOCK_CHARS = 1 << 20
 
 
 def escape(text: str) -> str:
-    text = text.replace("\\", "\\\\").replace("</turn>", "<\\/turn>").replace("</role>", "<\\/role>")
+    text = text.replace("\\", "\\\\").replace("</turn>", "<\\/turn>").replace("</role>", "<\\/role>").replace("<|", "<\\|")
     return re.sub(r"#(?=#)", r"#\\", text)
 
 

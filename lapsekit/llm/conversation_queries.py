@@ -16,6 +16,7 @@ WITH c AS (
 ), e AS (
   SELECT *, length(text) + length(text) - length(replace(text, '\', ''))
       + (length(text) - length(replace(text, '</turn>', ''))) / 7 + (length(text) - length(replace(text, '</role>', ''))) / 7
+      + (length(text) - length(replace(text, '<|', ''))) / 2
       + coalesce(list_sum(list_transform(regexp_extract_all(text, '##+'), lambda s: length(s) - 1)), 0) AS body
   FROM c
 )

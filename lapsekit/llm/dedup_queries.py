@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lapsekit.llm.decontamination import contaminated
 from lapsekit.llm.minhash import near_duplicates
 from lapsekit.llm.registry import query, table
+from lapsekit.llm.suffixes import without_repeats
 
 OP4_SQL = r"""
 WITH RECURSIVE w AS (
@@ -38,3 +39,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_benchmark_decontamination")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_suffix_array_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"))

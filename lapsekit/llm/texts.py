@@ -25,9 +25,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_BASE = 0xD6E8FEB86659FD93
-_INVERSE = pow(_BASE, -1, 1 << 64)
+BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+BASE = 0xD6E8FEB86659FD93
+INVERSE = pow(BASE, -1, 1 << 64)
 
 
 _POWERS: dict[int, np.ndarray] = {}
@@ -89,8 +89,8 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """A 64-bit hash of each span of bytes, from one running polynomial sum."""
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        np.cumsum(_BYTE[data] * powers(_BASE, len(data)), out=total[1:])
-        back = powers(_INVERSE, len(data) + 1)
+        np.cumsum(BYTES[data] * powers(BASE, len(data)), out=total[1:])
+        back = powers(INVERSE, len(data) + 1)
         return mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 

@@ -8,6 +8,7 @@ from lapsekit.llm.decontamination import contaminated
 from lapsekit.llm.minhash import near_duplicates
 from lapsekit.llm.registry import query, table
 from lapsekit.llm.suffixes import without_repeats
+from lapsekit.llm.vectors import near_vectors
 
 OP4_SQL = r"""
 WITH RECURSIVE w AS (
@@ -35,6 +36,25 @@ FROM s JOIN (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY 1) m USIN
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), r(vec_id, reach) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.reach = l.a
+), m AS (SELECT vec_id, min(reach) AS component_id FROM r GROUP BY 1)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = m.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM m
+"""
+
+
+@query("op7_embedding_near_dedup", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
 
 @query("op8_benchmark_decontamination")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from lapsekit.llm.texts import flat, pieces
 
 WINDOW, HIDDEN = 64, 8
-PER_CLASS, SAMPLE_BYTES, EPOCHS, BATCH, RATE = 300, 512, 5, 128, 0.02
+PER_CLASS, SAMPLE_BYTES, STEPS, BATCH, RATE = 300, 512, 360, 128, 0.02
 UNKNOWN = "und"
 
 
@@ -69,6 +69,33 @@ def run_layer(table: np.ndarray, state: np.ndarray, steps: np.ndarray, keep: boo
     return out, tape
 
 
+def states_only(table: np.ndarray, state: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """The states of :func:`run_layer`, in place: half the argument of the two sigmoids is put into the weights."""
+    hidden, n = state.shape[0], steps.shape[1]
+    half = np.concatenate([np.full(2 * hidden, 0.5), np.ones(hidden)]).astype(np.float32)
+    table, state = table * half, state * half
+    out = np.empty((len(steps), n, hidden), dtype=np.float32)
+    x, gates, c = (np.empty((n, w), dtype=np.float32) for w in (3 * hidden, 3 * hidden, hidden))
+    h = np.zeros((n, hidden), dtype=np.float32)
+    zr = np.empty((n, 2 * hidden), dtype=np.float32)
+    for t, symbols in enumerate(steps):
+        np.take(table, symbols, axis=0, out=x, mode="clip")
+        np.dot(h, state, out=gates)
+        np.add(x[:, : 2 * hidden], gates[:, : 2 * hidden], out=zr)
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        np.multiply(zr[:, hidden:], gates[:, 2 * hidden :], out=c)
+        c += x[:, 2 * hidden :]
+        np.tanh(c, out=c)
+        new = out[t]
+        np.subtract(h, c, out=new)
+        new *= zr[:, :hidden]
+        new += c
+        h = new
+    return out
+
+
 def _layer_gradients(table: np.ndarray, state: np.ndarray, steps: np.ndarray, tape: list, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of input table and state matrix, from the gradient wanted at each state: backpropagation through time."""
     hidden = state.shape[0]
@@ -91,8 +118,8 @@ def _layer_gradients(table: np.ndarray, state: np.ndarray, steps: np.ndarray, ta
 def position_probabilities(net: Network, windows: np.ndarray) -> np.ndarray:
     """Language probabilities at each byte of ``windows`` (windows x bytes): time x windows x languages."""
     steps = np.ascontiguousarray(windows.T)
-    logits = run_layer(net.inputs[0], net.states[0], steps)[0] @ net.heads[0]
-    logits += (run_layer(net.inputs[1], net.states[1], steps[::-1])[0] @ net.heads[1])[::-1]
+    logits = states_only(net.inputs[0], net.states[0], steps) @ net.heads[0]
+    logits += (states_only(net.inputs[1], net.states[1], steps[::-1]) @ net.heads[1])[::-1]
     logits += net.bias
     logits -= logits.max(axis=2, keepdims=True)
     np.exp(logits, out=logits)
@@ -113,7 +140,7 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return windows.astype(np.uint8), row, real
 
 
-def train(texts: list[bytes], labels: list[str], epochs: int = EPOCHS, batch: int = BATCH, rate: float = RATE, seed: int = 1) -> Network:
+def train(texts: list[bytes], labels: list[str], steps_in_all: int = STEPS, batch: int = BATCH, rate: float = RATE, seed: int = 1) -> Network:
     """Fit a network by Adam; texts and labels are in memory and bounded by the caller."""
     langs = sorted(set(labels))
     net = Network.fresh(langs, seed=seed)
@@ -122,9 +149,10 @@ def train(texts: list[bytes], labels: list[str], epochs: int = EPOCHS, batch: in
     target = np.array([langs.index(x) for x in labels])[row]
     rng = np.random.default_rng(seed)
     first, second, step = [np.zeros_like(p) for p in net.parameters()], [np.zeros_like(p) for p in net.parameters()], 0
-    steps_in_all = max(1, epochs * -(-len(row) // batch))
-    for _ in range(epochs):
+    while step < steps_in_all and len(row):
         for chosen in np.array_split(rng.permutation(len(row)), max(1, -(-len(row) // batch))):
+            if step >= steps_in_all:
+                break
             steps = np.ascontiguousarray(windows[chosen].T)
             tapes = [run_layer(net.inputs[d], net.states[d], steps[:: 1 - 2 * d], keep=True) for d in (0, 1)]
             states = [tapes[0][0], tapes[1][0][::-1]]

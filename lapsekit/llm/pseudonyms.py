@@ -208,13 +208,18 @@ PATTERN = re.compile(
 _CHANGES: dict[str, Callable[[str, str, bool], str | None]] = {
     "email": _email, "ip": _ip, "card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "date": _date, "secret": _secret,
 }
-_WORTH = re.compile(r"[@0-9=:]")
+_SIGNS, _PREFIXES = re.compile(r"[@0-9=:]"), ("AKIA", "ASIA", "ghp_", "sk-")
+
+
+def _worth(text: str) -> bool:
+    """Could the text hold a value at all; quick, and never wrong about a no."""
+    return bool(_SIGNS.search(text)) or any(p in text for p in _PREFIXES)
 
 
 def replace(text: str, key: str, decrypt: bool = False, memory: dict | None = None) -> tuple[str, list[tuple[int, str]]]:
     """The text with pseudonyms, and place and kind of each one."""
     found: list[tuple[int, str]] = []
-    if not text or not _WORTH.search(text):
+    if not text or not _worth(text):
         return text, found
     memory = {} if memory is None else memory
     begin = 0
@@ -232,7 +237,7 @@ def replace(text: str, key: str, decrypt: bool = False, memory: dict | None = No
 
     lines = text.split("\n")  # no value crosses lines, and most lines hold nothing worth a closer look
     for i, line in enumerate(lines):
-        if _WORTH.search(line):
+        if _worth(line):
             lines[i] = PATTERN.sub(change, line)
         begin += len(line) + 1
     return "\n".join(lines), found

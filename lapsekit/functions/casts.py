@@ -19,6 +19,20 @@ def to_string(col: Column) -> Column:
     return col.cast("string")
 
 
+def number_to_float(col: Column) -> Column:
+    """A numeric or boolean column as a double; NaN is null."""
+    number = col.cast("double")
+    return F.when(~F.isnan(number), number)
+
+
+def number_to_int(col: Column, whole_type: bool, truncate: bool = False) -> Column:
+    """A numeric column as a whole number; a fraction is null unless ``truncate``."""
+    if whole_type:
+        return col.cast("bigint")
+    number = number_to_float(col)
+    return (number if truncate else F.when(number == F.floor(number), number)).try_cast("bigint")
+
+
 def to_float(col: Column) -> Column:
     """Number or null. Java's ``1d``/``1f`` spellings are not numbers here, and NaN is null."""
     text = col.cast("string")

@@ -70,15 +70,24 @@ STRPTIME_TO_SPARK = {
 }
 
 
+# These take one or two digits where a separator ends them (fixed values).
+ONE_OR_TWO = {"%m": "M", "%d": "d", "%H": "H", "%I": "h", "%M": "m", "%S": "s"}
+
+
 def spark_pattern(fmt: str) -> str:
-    """Translate a strptime format into a Spark datetime pattern."""
+    """Translate a strptime format into a Spark datetime pattern.
+
+    A number next to another one has its full width; one between separators may
+    leave out its leading zero.
+    """
     out, i = [], 0
     while i < len(fmt):
         if fmt[i] == "%":
             directive = fmt[i : i + 2]
             if directive not in STRPTIME_TO_SPARK:
                 raise ValueError(f"unsupported datetime directive {directive!r} in {fmt!r}")
-            out.append(STRPTIME_TO_SPARK[directive])
+            alone = fmt[i + 2 : i + 3] != "%" and fmt[max(0, i - 2) : max(0, i - 1)] != "%"
+            out.append(ONE_OR_TWO[directive] if alone and directive in ONE_OR_TWO else STRPTIME_TO_SPARK[directive])
             i += 2
         else:
             ch = fmt[i]
@@ -87,14 +96,22 @@ def spark_pattern(fmt: str) -> str:
     return "".join(out)
 
 
+def any_moment(col: Column) -> Column:
+    """Text in one of the usual spellings as a zone-less timestamp; a stated zone is converted to UTC."""
+    text = F.trim(col.cast("string"))
+    zoned = text.rlike(r"\d[ ]?(Z|UTC|[+-]\d{1,2}(:?\d{2})?)$") & text.rlike(r"\d:\d{2}")
+    return F.when(zoned, to_utc_naive(text.try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
+
+
 def parse_datetime(col: Column, fmt: str | None = None, drop_tz: bool = False) -> Column:
     """Text to timestamp; text that does not fit becomes null.
 
     A format with a zone gives an instant, which ``drop_tz`` turns into UTC wall
-    clock; a format without one gives a zone-less timestamp.
+    clock; a format without one gives a zone-less timestamp. Without a format the
+    usual spellings are read and a stated zone is converted to UTC wall clock.
     """
     if fmt is None:
-        return col.try_cast("timestamp_ntz")
+        return any_moment(col)
     parsed = F.try_to_timestamp(col.cast("string"), F.lit(spark_pattern(fmt)))
     if "%z" not in fmt:
         return parsed.cast("timestamp_ntz")

@@ -6,14 +6,14 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lapsekit.operators.columns import as_list
+from lapsekit.operators.columns import as_list, value_of
 from lapsekit.operators.ordering import order_key
 
 
 def _group_sum(df: DataFrame, col: str) -> Column:
     """Sum that is 0, not null, for a group without values."""
     wide = isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType))
-    return F.coalesce(F.sum(col), F.lit(0.0 if wide else 0))
+    return F.coalesce(F.sum(value_of(df, col)), F.lit(0.0 if wide else 0))
 
 
 def groupby_aggregate(
@@ -27,20 +27,20 @@ def groupby_aggregate(
 ) -> DataFrame:
     """One row per key with sums, means, minima and, for the rest, the first present value.
 
-    Null keys form groups. A column listed twice takes the later of sum, mean,
+    Null keys form groups; NaN is a missing value. A column listed twice takes the later of sum, mean,
     min. "First" follows ``order_by`` (see :func:`order_key`). Everything is one
     partial aggregate and one shuffle on the keys.
     """
     keys = as_list(by)
     plan: dict[str, Column] = {}
     plan.update({c: _group_sum(df, c) for c in as_list(sum_cols)})
-    plan.update({c: F.avg(c) for c in as_list(mean_cols)})
-    plan.update({c: F.min(c) for c in as_list(min_cols)})
+    plan.update({c: F.avg(value_of(df, c)) for c in as_list(mean_cols)})
+    plan.update({c: F.min(value_of(df, c)) for c in as_list(min_cols)})
     if first_for_rest:
         rest = [c for c in df.columns if c not in keys and c not in plan]
         position = order_key(df, order_by) if rest else None
         # A null order value is ignored, which makes this the first non-null value.
-        plan.update({c: F.min_by(c, F.when(F.col(c).isNotNull(), position)) for c in rest})
+        plan.update({c: F.min_by(F.col(c), F.when(value_of(df, c).isNotNull(), position)) for c in rest})
     if not plan:
         return df.select(*keys).distinct()
     return df.groupBy(*keys).agg(*[value.alias(c) for c, value in plan.items()])
@@ -85,8 +85,9 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 def distinct_counts(df: DataFrame, cols: Iterable[str], approximate: bool = False) -> DataFrame:
     """Number of distinct present values per column: ``name``, ``n_distinct``.
 
-    Exact counting goes through distinct (column, value) pairs; ``approximate``
-    answers from one sketch per column in a single pass.
+    Exact counting is one aggregate with a distinct count per column, which Spark
+    expands to one row per column and value; ``approximate`` answers from one sketch
+    per column in a single pass.
     """
     names = as_list(cols)
     if approximate:

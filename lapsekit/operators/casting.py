@@ -52,6 +52,18 @@ def _datetime(field: T.StructField, spec: Spec) -> Column:
     return parse_datetime(col, spec.get("format"), drop_tz)
 
 
+def _is_number(field: T.StructField) -> bool:
+    return isinstance(field.dataType, (T.NumericType, T.BooleanType)) and not isinstance(field.dataType, T.DecimalType)
+
+
+def _int(field: T.StructField, truncate: bool) -> Column:
+    """Numbers and booleans are cast as they are; anything else goes through its text."""
+    if not _is_number(field):
+        return casts.to_int(F.col(field.name), truncate=truncate)
+    whole = isinstance(field.dataType, (T.IntegralType, T.BooleanType))
+    return casts.number_to_int(F.col(field.name), whole, truncate)
+
+
 def _plan_column(field: T.StructField, spec: Spec, mode: str) -> _Plan:
     col, kind = F.col(field.name), spec["type"]
     nothing = F.lit(False)
@@ -61,7 +73,7 @@ def _plan_column(field: T.StructField, spec: Spec, mode: str) -> _Plan:
         return _Plan(casts.to_category(col, spec.get("categories")), nothing)
     if kind == "int":
         nullable = spec.get("nullable", True)
-        value = casts.to_int(col, truncate=not nullable)
+        value = _int(field, not nullable)
         if not nullable:
             return _Plan(value, value.isNull())
         refused = col.isNotNull() & value.isNull()
@@ -70,7 +82,7 @@ def _plan_column(field: T.StructField, spec: Spec, mode: str) -> _Plan:
             refused = casts.has_fraction(col) if spec.get("on_fraction") == "error" else nothing
         return _Plan(value, refused)
     if kind == "float":
-        value = casts.to_float(col)
+        value = casts.number_to_float(col) if _is_number(field) else casts.to_float(col)
     elif kind == "bool":
         value = casts.to_bool(col)
         return _Plan(value, value.isNull() if mode == "strict" else nothing)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 _NUMERIC = (T.NumericType,)
 
@@ -16,6 +16,14 @@ def as_list(value: str | Iterable[str] | None) -> list[str]:
     return [value] if isinstance(value, str) else list(value)
 
 
+def value_of(df: DataFrame, name: str) -> Column:
+    """A column by its exact name, NaN as null in floating columns."""
+    col = F.col("`" + name.replace("`", "``") + "`")
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(col), col)
+    return col
+
+
 def is_numeric(field: T.StructField) -> bool:
     return isinstance(field.dataType, _NUMERIC)
 
@@ -61,7 +69,7 @@ def null_shares(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     """Null share per column in one aggregate; an empty table has no shares."""
     if not cols:
         return {}
-    row = df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first()
+    row = df.agg(*[F.avg(value_of(df, c).isNull().cast("int")).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols if row[c] is not None}
 
 

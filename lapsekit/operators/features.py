@@ -173,8 +173,8 @@ def dated_feature_pipeline(
     """The preprocessor for scaled numbers, one-hot categories and hour gaps between dates.
 
     Returns the pipeline and the gaps to add first with ``add_order_lags``; the
-    gaps are assembled unscaled.
+    gaps are assembled unscaled. Every row stays: a gap with a missing date is NaN.
     """
     pipeline = preprocessor(numeric, categorical, output="scaled")
-    whole = VectorAssembler(inputCols=["scaled", *gaps], outputCol="features", handleInvalid="skip")
+    whole = VectorAssembler(inputCols=["scaled", *gaps], outputCol="features", handleInvalid="keep")
     return Pipeline(stages=[*pipeline.getStages(), whole]), gaps

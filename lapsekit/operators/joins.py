@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from lapsekit.operators.columns import as_list
-from lapsekit.plans.sizing import broadcast_if_small
 
 HOWS = ("left", "inner", "outer", "right")
 
@@ -36,10 +35,10 @@ def join(
     ``suffix_right``; a name that still clashes is an error. ``validate="m:1"``
     runs a job that fails if the right side repeats a key.
 
-    A small right side (by the optimiser's estimate) is broadcast for left and
-    inner joins. Otherwise both sides shuffle, and the adaptive planner splits hot
-    keys on the preserved side. It cannot do that for a full outer join, so that
-    one is a left join plus the right rows without a partner.
+    No side is hinted: the adaptive planner broadcasts one whose measured size
+    allows it and else splits hot keys on the preserved side. It cannot split a full
+    outer join, so that one is a left join plus the right rows without a partner,
+    which reads both sides twice.
     """
     if how not in HOWS:
         raise ValueError(f"how must be one of {HOWS}, not {how!r}")
@@ -67,8 +66,6 @@ def join(
         raise ValueError(f"join would repeat column names: {sorted({c for c in output if output.count(c) > 1})}")
 
     side = right.select(*[F.col(c).alias(f"__r_{c}") for c in right.columns])
-    if how in ("left", "inner"):
-        side = broadcast_if_small(side)
     match = reduce(
         lambda a, b: a & b,
         [F.col(k).eqNullSafe(F.col(f"__r_{r}")) for k, r in zip(left_keys, right_keys)],

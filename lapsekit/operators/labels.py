@@ -7,7 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lapsekit.functions.timing import days_between
+from lapsekit.functions.timing import any_moment, days_between
 from lapsekit.operators.columns import as_list, is_datetime
 
 
@@ -15,7 +15,7 @@ def _moment(field: T.StructField) -> Column:
     """The column as a zone-less timestamp; text that is not a date becomes null."""
     if is_datetime(field):
         return F.col(field.name).cast("timestamp_ntz")
-    return F.col(field.name).cast("string").try_cast("timestamp_ntz")
+    return any_moment(F.col(field.name))
 
 
 def create_churn_label(
@@ -59,8 +59,8 @@ def create_churn_label(
 
     last = dated.groupBy("__customer").agg(F.max("__ts").alias("__last"))
     if reference_date is None or (isinstance(reference_date, str) and reference_date == "max"):
-        # Taken from the per-customer maxima (null customers included), so both share one shuffle.
-        reference = last.agg(F.max("__last")).scalar()
+        # One number over the kept rows: a partial maximum per task, no shuffle of rows.
+        reference = dated.agg(F.max("__ts")).scalar()
     else:
         reference = F.lit(str(reference_date)).cast("timestamp_ntz")
     overdue = F.coalesce(days_between(F.col("__last"), reference) > horizon_days, F.lit(False))
@@ -77,7 +77,7 @@ def inactivity_label(
     events: DataFrame,
     user_col: str,
     ts_col: str,
-    window_ends: Iterable[str | dt.date | dt.datetime],
+    window_ends: Iterable[str | dt.date | dt.datetime] | None = None,
     window_days: int = 7,
     horizon_days: int = 7,
     target_col: str = "inactive",
@@ -88,16 +88,25 @@ def inactivity_label(
     and is inactive (1) when nothing follows in ``[t, t + horizon_days)``. Window
     ends whose horizon reaches past the last event are left out.
 
+    Without ``window_ends`` the windows follow each other from the day of the first
+    event to the last one.
+
     Each event is copied only to the windows it falls in, and the copies are
     merged map-side per (user, window end) before the single shuffle.
     """
     ts = F.col(ts_col).cast("timestamp_ntz")
     day = F.expr("interval 1 day")
-    ends = F.array(*[F.lit(str(e)).cast("timestamp_ntz") for e in window_ends])
+    if window_ends is None:
+        span = events.agg(F.struct(F.min(ts).alias("lo"), F.max(ts).alias("hi")).alias("s")).scalar()
+        first = F.date_trunc("day", span["lo"]).cast("timestamp_ntz") + day * window_days
+        ends = F.sequence(first, F.greatest(first, span["hi"]), day * window_days)
+    else:
+        ends = F.array(*[F.lit(str(e)).cast("timestamp_ntz") for e in window_ends])
     latest = events.agg(F.max(ts)).scalar()
-    touched = F.filter(ends, lambda e: (ts >= e - day * window_days) & (ts < e + day * horizon_days))
+    touched = F.filter("__ends", lambda e: (ts >= e - day * window_days) & (ts < e + day * horizon_days))
     seen = (
         events.filter(F.col(user_col).isNotNull())
+        .select(F.col(user_col), ts.alias(ts_col), ends.alias("__ends"))
         .select(F.col(user_col), ts.alias("__ts"), F.explode(touched).alias("window_end"))
         .filter(F.col("window_end") + day * horizon_days <= latest)
     )

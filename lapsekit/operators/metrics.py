@@ -115,11 +115,13 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str, values: Sequenc
 def _auc_per_class(scored: DataFrame, single_task_bytes: int) -> DataFrame:
     """AUC per ``class`` from (class, score, positive) rows; tied scores count half.
 
+    A missing score is an error: leaving the row out would flatter the score.
+
     Rows are reduced to distinct scores. On large tables the number of negatives
     below each score comes from ranges of scores, never from one sorted task.
     """
     counted = (
-        scored.filter(F.col("score").isNotNull())
+        scored.withColumn("score", F.coalesce("score", F.raise_error(F.lit("a labelled row has no score")).cast("double")))
         .groupBy("class", "score")
         .agg(F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg"))
     )
@@ -136,7 +138,10 @@ def _auc_per_class(scored: DataFrame, single_task_bytes: int) -> DataFrame:
 def roc_auc(
     df: DataFrame, label: str, score: str, positive: Any = 1, single_task_bytes: int = SINGLE_TASK_BYTES
 ) -> DataFrame:
-    """One row: ``roc_auc`` of the score for the positive class; null without both classes."""
+    """One row: ``roc_auc`` of the score for the positive class; null without both classes.
+
+    Rows without a label are no evidence and left out; a labelled row without a score is an error.
+    """
     scored = df.filter(F.col(label).isNotNull()).select(
         F.lit("1").alias("class"),
         F.col(score).cast("double").alias("score"),

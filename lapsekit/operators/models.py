@@ -20,7 +20,7 @@ from lapsekit.operators.features import preprocessor
 from lapsekit.operators.folds import holdout_split, kfold_assign
 from lapsekit.session import materialize
 
-LABEL = "__label"
+LABEL, WEIGHT = "__label", "__weight"
 MAX_CLASSES = 1000
 
 # Parameter names accepted in a model configuration -> Spark's names (fixed values).
@@ -48,6 +48,8 @@ class ScaledLogisticRegression(Estimator):
     depends on the number of training rows and is set when fitting.
     """
 
+    class_weight: Any = None
+
     def __init__(self, c: float = 1.0, penalty: str | None = "l2", **params: Any):
         super().__init__()
         self.c, self.penalty, self.extra = c, penalty, params
@@ -61,6 +63,7 @@ class ScaledLogisticRegression(Estimator):
             regParam=strength,
             elasticNetParam=PENALTIES[self.penalty],
             standardization=False,
+            **({"weightCol": WEIGHT} if self.class_weight else {}),
             **self.extra,
         ).fit(dataset)
 
@@ -73,8 +76,23 @@ def _renamed(params: Mapping[str, Any], names: Mapping[str, str]) -> dict[str, A
 
 
 def build_model(name: str, params: Mapping[str, Any] | None = None) -> Estimator:
-    """``logreg`` or ``rf`` with the given parameters over the defaults."""
+    """``logreg`` or ``rf`` with the given parameters over the defaults.
+
+    ``class_weight`` is ``"balanced"`` (rows over classes times rows of the class) or
+    a mapping from class to weight; rows are weighted in the loss or the impurity.
+    """
     given = dict(params or {})
+    weights = given.pop("class_weight", None)
+    if weights is not None and weights != "balanced" and not isinstance(weights, Mapping):
+        raise ValueError(f"class_weight must be 'balanced', a mapping or None, not {weights!r}")
+    model = _model(name, given)
+    model.class_weight = weights
+    if weights and isinstance(model, RandomForestClassifier):
+        model.setWeightCol(WEIGHT)
+    return model
+
+
+def _model(name: str, given: dict[str, Any]) -> Estimator:
     if name.lower() == "logreg":
         c, penalty = float(given.pop("C", 1.0)), given.pop("penalty", "l2")
         if penalty not in PENALTIES:
@@ -106,14 +124,19 @@ def build_pipeline(
     return Pipeline(stages=[preprocessor(numeric, categorical), classifier]), numeric, categorical
 
 
-def target_classes(df: DataFrame, target: str) -> list[Any]:
-    """Sorted classes of the target; null targets and absurd class counts are errors."""
-    found = [r[0] for r in df.select(target).distinct().limit(MAX_CLASSES + 2).collect()]
-    if None in found:
+def target_classes(df: DataFrame, target: str, most: int = MAX_CLASSES) -> list[Any]:
+    """Sorted classes of the target, under the names that Spark's own cast to text gives them.
+
+    Whole numbers and texts stay what they are. Null targets are an error, and so
+    are more than ``most`` classes: the class names are held by the driver and each is a column of the result.
+    """
+    named = df.select(F.col(target), F.col(target).cast("string").alias("__name"))
+    found = [(r[0], r[1]) for r in named.distinct().limit(most + 2).collect()]
+    if any(v is None for v, _ in found):
         raise ValueError(f"target {target!r} has nulls; remove those rows first")
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"target {target!r} has more than {MAX_CLASSES} classes")
-    return sorted(found)
+    if len(found) > most:
+        raise ValueError(f"target {target!r} has more than {most} classes")
+    return [n if isinstance(v, (bool, float)) else v for v, n in sorted(found)]
 
 
 def with_label(df: DataFrame, target: str, classes: Sequence[Any]) -> DataFrame:
@@ -127,9 +150,24 @@ def _class_names(classes: Sequence[Any]) -> IndexToString:
     return IndexToString(inputCol="prediction", outputCol="predicted_class", labels=[str(c) for c in classes])
 
 
+def _with_weight(labelled: DataFrame, classes: Sequence[Any], weights: str | Mapping[Any, float]) -> DataFrame:
+    """Add the weight of each row's class; the counts of the classes are one row each."""
+    if weights == "balanced":
+        counts = {int(r[LABEL]): r["count"] for r in labelled.groupBy(LABEL).count().collect()}
+        by_place = [sum(counts.values()) / (len(counts) * counts[i]) if i in counts else 1.0 for i in range(len(classes))]
+    else:
+        named = {str(k): float(v) for k, v in weights.items()}
+        by_place = [named.get(str(c), 1.0) for c in classes]
+    return labelled.withColumn(WEIGHT, F.get(F.array(*[F.lit(w) for w in by_place]), F.col(LABEL).cast("int")))
+
+
 def fit_pipeline(pipeline: Pipeline, train: DataFrame, target: str, classes: Sequence[Any]) -> PipelineModel:
     """Fit on labelled rows; the last stage of the result names the predicted class."""
-    fitted = pipeline.fit(with_label(train, target, classes))
+    labelled = with_label(train, target, classes)
+    weights = getattr(pipeline.getStages()[-1], "class_weight", None)
+    if weights:
+        labelled = _with_weight(labelled, classes, weights)
+    fitted = pipeline.fit(labelled)
     return PipelineModel(stages=[*fitted.stages, _class_names(classes)])
 
 
@@ -231,6 +269,8 @@ def fit(config: Mapping[str, Any], df: DataFrame) -> FittedBaseline:
     parted = holdout_split(
         df, target, ids, float(config.get("test_size", 0.2)), int(config.get("random_state", 42)), "__test"
     )
+    if config.get("target") and numeric + categorical:
+        parted = parted.select(*dict.fromkeys([*ids, target, *numeric, *categorical, "__test"]))
     split = materialize(parted, "split")
     classes = target_classes(split, target)
     model = fit_pipeline(pipeline, split.filter(~F.col("__test")), target, classes)

@@ -19,16 +19,15 @@ def _hashable(data_type: T.DataType) -> bool:
 def order_key(df: DataFrame, order_by: str | Iterable[str] | None) -> Column:
     """The value rows are ordered by.
 
-    Named columns are compared in turn; they should be unique within a group.
+    Named columns are compared in turn, nulls last; they should be unique within a group.
     Without names the key is a 64-bit hash of the whole row: eight bytes wide,
     the same on every partitioning, and equal only for identical rows. That
     order is stable but arbitrary.
     """
     names = as_list(order_by)
-    if len(names) == 1:
-        return F.col(names[0])
     if names:
-        return F.struct(*[F.col(c) for c in names])
+        # A bare null key would be skipped by min_by and max_by; a pair with a flag never is, and sorts nulls last.
+        return F.struct(*[p for i, c in enumerate(names) for p in (F.col(c).isNull().alias(f"null{i}"), F.col(c).alias(f"value{i}"))])
     return F.xxhash64(*[F.col(f.name) for f in df.schema if _hashable(f.dataType)])
 
 

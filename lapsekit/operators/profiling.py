@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from lapsekit.operators.columns import as_list, is_datetime, is_numeric, is_text
+from lapsekit.operators.columns import as_list, is_datetime, is_numeric, is_text, value_of
 from lapsekit.operators.quantiles import soft_bounds
 from lapsekit.operators.stats import unpack
 
@@ -61,7 +61,7 @@ def profile(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     none_time = F.lit(None).cast("timestamp_ntz")
     for field in df.schema:
         c, kind = field.name, logical_type(field)
-        measures.append(F.count(F.col(c)).alias(f"n_{c}"))
+        measures.append(F.count(value_of(df, c)).alias(f"n_{c}"))
         categories, earliest, latest = none_text, none_time, none_time
         if c in listed:
             measures.append(F.collect_set(F.col(c).cast("string")).alias(f"set_{c}"))

@@ -13,13 +13,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lapsekit.plans.sizing import estimated_bytes
-
 # Sketch size: each bracket holds about 2 * _MARGIN / accuracy of the rows.
 ACCURACY = 10_000
-MAX_ACCURACY = 1_000_000
-# The sketch is refined with the table so that a bracket stays near this many rows.
-_BRACKET_ROWS = 1_000_000
+# A bracket with more rows is bracketed again, by a sketch of the rows inside it.
+BRACKET_ROWS = 1_000_000
 _MARGIN = 3
 
 Bracket = tuple[float, float]
@@ -30,25 +27,65 @@ def _clean(c: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def _sketched(df: DataFrame, wanted: list[tuple[str, float, Bracket]], accuracy: int) -> list[tuple[int, int, list[float] | None]]:
+    """For each (column, share of the rows inside, bracket): rows below it, rows inside, and the values around the share."""
+    margin, measures = _MARGIN / accuracy, []
+    for i, (c, share, (low, high)) in enumerate(wanted):
+        value = _clean(c)
+        inside = F.when((value >= low) & (value <= high), value)
+        around = [min(1.0, max(0.0, share + side * margin)) for side in (-1, 1)]
+        measures += [
+            F.count_if(value < low).alias(f"below{i}"), F.count(inside).alias(f"n{i}"), F.percentile_approx(inside, around, accuracy).alias(f"b{i}"),
+        ]
+    row = df.agg(*measures).first()
+    return [(row[f"below{i}"], row[f"n{i}"], row[f"b{i}"]) for i in range(len(wanted))]
+
+
 def _brackets(
-    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], accuracy: int
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], accuracy: int, most: int
 ) -> dict[str, list[Bracket]]:
-    """Disjoint, ascending value ranges that hold the wanted ranks; two numbers per quantile are fetched."""
+    """Disjoint, ascending value ranges that hold the wanted ranks; a few numbers per quantile are fetched.
+
+    The first sketch covers the whole columns. A bracket that still holds more than
+    ``most`` rows is cut again by a sketch of its own rows, so the sketches keep their
+    size however many rows there are.
+    """
     margin = _MARGIN / accuracy
     around = [min(1.0, max(0.0, p + side * margin)) for p in sorted(probabilities) for side in (-1, 1)]
-    row = df.agg(*[F.percentile_approx(_clean(c), around, accuracy).alias(f"b{i}") for i, c in enumerate(cols)]).first()
-    found: dict[str, list[Bracket]] = {}
+    row = df.agg(
+        *[F.percentile_approx(_clean(c), around, accuracy).alias(f"b{i}") for i, c in enumerate(cols)],
+        *[F.count(_clean(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+    ).first()
+    single: dict[tuple[str, float], Bracket] = {}
+    total = {c: row[f"n{i}"] for i, c in enumerate(cols)}
     for i, c in enumerate(cols):
-        if row[f"b{i}"] is None:
-            continue
+        if row[f"b{i}"] is not None:
+            single |= {(c, p): pair for p, pair in zip(sorted(probabilities), zip(row[f"b{i}"][::2], row[f"b{i}"][1::2]))}
+    # An expected share of the rows tells whether a bracket can be too full; equal values cannot be cut.
+    open_ = [k for k, (low, high) in single.items() if 2 * margin * total[k[0]] > most and low < high]
+    while open_:
+        counts = _sketched(df, [(c, 0.5, single[c, p]) for c, p in open_], 2)
+        full = [(k, below, n) for k, (below, n, _) in zip(open_, counts) if n > most]
+        if not full:
+            break
+        shares = [min(1.0, max(0.0, (k[1] * (total[k[0]] - 1) - below) / max(n - 1, 1))) for k, below, n in full]
+        found = _sketched(df, [(k[0], share, single[k]) for (k, _, _), share in zip(full, shares)], accuracy)
+        open_ = []
+        for (k, _, _), (_, _, pair) in zip(full, found):
+            if (pair[0], pair[1]) != single[k] and pair[0] < pair[1]:
+                open_.append(k)
+            single[k] = (pair[0], pair[1])
+    brackets: dict[str, list[Bracket]] = {}
+    for c in cols:
         merged: list[Bracket] = []
-        for low, high in sorted(zip(row[f"b{i}"][::2], row[f"b{i}"][1::2])):
+        for low, high in sorted(pair for (name, _), pair in single.items() if name == c):
             if merged and low <= merged[-1][1]:
                 merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
             else:
                 merged.append((low, high))
-        found[c] = merged
-    return found
+        if merged:
+            brackets[c] = merged
+    return brackets
 
 
 def _segment(value: Column, brackets: Sequence[Bracket]) -> Column:
@@ -71,25 +108,15 @@ def _at_rank(rank: Column) -> Column:
     return F.max(F.when((rank >= F.col("start")) & (rank < F.col("end")), value))
 
 
-def accuracy_for(df: DataFrame, cols: Sequence[str]) -> int:
-    """Sketch size for a table, from the optimiser's estimate of its rows."""
-    size = estimated_bytes(df.select(*cols))
-    if size is None:
-        return MAX_ACCURACY
-    rows = size / (8 * len(cols))
-    return int(min(MAX_ACCURACY, max(ACCURACY, 2 * _MARGIN * rows / _BRACKET_ROWS)))
-
-
 def exact_quantiles(
-    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], accuracy: int | None = None
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], accuracy: int = ACCURACY, most: int = BRACKET_ROWS
 ) -> DataFrame:
     """One row per column: ``name`` and ``quantiles``, an array in the order asked for.
 
     Nulls and NaN are skipped; a column without values has no row. The bracketing
     sketch runs at once, the rest when the result is used.
     """
-    accuracy = accuracy or accuracy_for(df, cols)
-    brackets = _brackets(df, cols, probabilities, accuracy)
+    brackets = _brackets(df, cols, probabilities, accuracy, most)
     if not brackets:
         return df.sparkSession.createDataFrame([], "name string, quantiles array<double>")
     rows = [

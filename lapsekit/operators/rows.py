@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from lapsekit.operators.columns import as_list, text_columns
 from lapsekit.operators.ordering import order_key
 from lapsekit.operators.quantiles import quantile_column
-from lapsekit.plans.sizing import measured_lookup
 
 
 def dropna_rows(
@@ -134,23 +133,20 @@ def disambiguate_city_state(
     city_col: str,
     state_col: str,
     suffix_sep: str = "_",
-    max_broadcast_rows: int = 100_000,
 ) -> DataFrame:
     """Append the state to the names of cities that occur in several states.
 
     Rows of such a city without a state get a null city. The table is returned
     unchanged if either column is absent.
 
-    The ambiguous cities come from a grouped aggregate (a dominant city is merged
-    map-side, never gathered in one window) which runs first, so that its size is
-    known: up to ``max_broadcast_rows`` names are broadcast and the table itself
-    is not shuffled; more names are joined by shuffle.
+    The ambiguous cities come from a grouped aggregate: a dominant city is merged
+    map-side, never gathered in one window. They are joined back, and the adaptive
+    planner broadcasts them if they turn out to be few. Nothing runs while the plan is built.
     """
     if city_col not in df.columns or state_col not in df.columns:
         return df
     several = ambiguous_values(df, city_col, state_col).withColumnRenamed(city_col, "__city")
-    small = measured_lookup(several, max_broadcast_rows)
-    marked = (several if small is None else small).withColumn("__several", F.lit(True))
+    marked = several.withColumn("__several", F.lit(True))
     full_name = F.concat(F.col(city_col).cast("string"), F.lit(suffix_sep), F.col(state_col).cast("string"))
     renamed = F.when(F.col("__several"), full_name).otherwise(F.col(city_col))
     joined = df.join(marked, F.col(city_col) == F.col("__city"), "left")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lapsekit.operators.columns import as_list
 
-_STEPS = 1_000_000
+_HASHES = 1 << 63
 
 
 def sample_fraction(
@@ -24,5 +24,5 @@ def sample_fraction(
     names = as_list(keys)
     if not names:
         return df.sample(withReplacement=False, fraction=float(fraction), seed=seed)
-    slot = F.pmod(F.xxhash64(*[F.col(c) for c in names], F.lit(seed)), F.lit(_STEPS))
-    return df.filter(slot < int(float(fraction) * _STEPS))
+    place = F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in names], F.lit(seed)), 1)
+    return df.filter(place <= min(int(float(fraction) * _HASHES), _HASHES - 1))

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lapsekit.functions.timing import fractional_days
-from lapsekit.operators.columns import as_list, columns_of_type
+from lapsekit.operators.columns import as_list, columns_of_type, value_of
 from lapsekit.operators.quantiles import exact_quantiles
 
 
@@ -18,14 +18,14 @@ def unpack(row: DataFrame, entries: list[Column]) -> DataFrame:
 
 
 def null_counts(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
-    """``name``, ``n_null`` for every column."""
+    """``name``, ``n_null`` for every column; NaN counts as null."""
     names = as_list(cols) or df.columns
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names])
+    row = df.agg(*[F.count_if(value_of(df, c).isNull()).alias(c) for c in names])
     return unpack(row, [F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").alias("n_null")) for c in names])
 
 
 def describe(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact quartiles and maximum per numeric column."""
+    """Count, mean, sample deviation, minimum, exact quartiles and maximum per numeric column; NaN is skipped like null."""
     names = as_list(cols) or columns_of_type(df, "numeric")
     measures = {
         "n": lambda c: F.count(c),
@@ -34,7 +34,7 @@ def describe(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
         "min": lambda c: F.min(c).cast("double"),
         "max": lambda c: F.max(c).cast("double"),
     }
-    row = df.agg(*[f(c).alias(f"{m}_{c}") for c in names for m, f in measures.items()])
+    row = df.agg(*[f(value_of(df, c)).alias(f"{m}_{c}") for c in names for m, f in measures.items()])
     basics = unpack(
         row,
         [F.struct(F.lit(c).alias("name"), *[F.col(f"`{m}_{c}`").alias(m) for m in measures]) for c in names],
@@ -73,7 +73,7 @@ def correlation_pairs(df: DataFrame, cols: Iterable[str] | None = None) -> DataF
     """
     names = as_list(cols) or columns_of_type(df, "numeric")
     pairs = list(combinations(names, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[F.corr(value_of(df, a), value_of(df, b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     return unpack(
         row,
         [
@@ -89,9 +89,9 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     ``bin`` (from 0), ``low``, ``high``, ``n``; the last bin includes the maximum
     and empty bins are listed.
     """
-    value = F.col(col).cast("double")
+    value = value_of(df, col).cast("double")
     edges = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("e"))
-    placed = df.filter(F.col(col).isNotNull()).select(value.alias("v"), edges.scalar().alias("e"))
+    placed = df.filter(value.isNotNull()).select(value.alias("v"), edges.scalar().alias("e"))
     width = (F.col("e.hi") - F.col("e.lo")) / bins
     position = F.when(width == 0, 0).otherwise(F.floor(F.try_divide(F.col("v") - F.col("e.lo"), width)))
     counts = placed.groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("b")).agg(

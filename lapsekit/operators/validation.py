@@ -12,8 +12,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from lapsekit.functions.timing import to_utc_naive
-from lapsekit.operators.columns import is_datetime, is_numeric
+from lapsekit.functions.timing import any_moment, to_utc_naive
+from lapsekit.operators.columns import is_datetime, is_numeric, value_of
 from lapsekit.operators.profiling import logical_type
 
 # Tolerances used when nothing else is given (fixed values).
@@ -74,7 +74,7 @@ def _as_moment(field: T.StructField) -> Column:
         return to_utc_naive(F.col(field.name))
     if is_datetime(field):
         return F.col(field.name).cast("timestamp_ntz")
-    return F.col(field.name).cast("string").try_cast("timestamp_ntz")
+    return any_moment(F.col(field.name))
 
 
 def validate(
@@ -119,7 +119,7 @@ def validate(
             return resolve_threshold(key, column, dataset, defaults)
 
         base_pp = float(spec.get("null_rate") or 0.0) * 100.0
-        null_pp = measure(F.avg(col.isNull().cast("int")) * 100.0)
+        null_pp = measure(F.avg(value_of(df, c).isNull().cast("int")) * 100.0)
         found.append(
             _finding(c, "null_rate", null_pp - base_pp, limit("null_delta_pp"), F.lit(f"baseline {base_pp:.1f}%"))
         )

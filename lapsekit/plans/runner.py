@@ -31,14 +31,14 @@ class _Catalog:
         self.spark = spark
         self.known: dict[str, DataFrame] = dict(tables)
 
-    def find(self, ref: Any) -> DataFrame:
+    def find(self, ref: Any, **csv: Any) -> DataFrame:
         if isinstance(ref, DataFrame):
             return ref
-        return self.known[ref] if ref in self.known else read_newest(self.spark, ref)
+        return self.known[ref] if ref in self.known else read_newest(self.spark, ref, **csv)
 
     def load(self, spec: Mapping[str, Any]) -> DataFrame:
         if spec.get("reader", "file") != "sql":
-            return self.find(spec["input"])
+            return self.find(spec["input"], **{k: spec[k] for k in ("sep", "multiline") if k in spec})
         if "conn_env" in spec:
             return read_database(self.spark, spec["query"], spec["conn_env"], spec.get("params"), spec.get("split"))
         return query_tables(self.spark, spec["query"], spec.get("params"), self.known)
@@ -55,7 +55,8 @@ def run_datasets(
     """Load, sample, transform and save each data set.
 
     A data set has ``name``, ``input`` (a name, path or glob) or ``reader: sql``,
-    ``steps``, and optionally ``output``, ``sample``, ``enabled``. Later data sets
+    ``steps``, and optionally ``output``, ``sample``, ``sample_keys``, ``enabled``, and
+    ``sep`` and ``multiline`` for CSV. Later data sets
     find earlier ones by name or output path: once written they are read back, so
     nothing is computed twice; with ``write=False`` everything stays one lazy
     plan. A failing data set does not stop the others; the failures are raised
@@ -69,7 +70,9 @@ def run_datasets(
         try:
             df = catalog.load(spec)
             stage = "processing"
-            df = sample_fraction(df, spec.get("sample", (defaults or {}).get("sample")))
+            keys = spec.get("sample_keys", (defaults or {}).get("sample_keys"))
+            # Without keys whole rows are hashed, so a sample is the same on every partitioning.
+            df = sample_fraction(df, spec.get("sample", (defaults or {}).get("sample")), keys=keys or df.columns)
             df = apply_steps(df, spec.get("steps", []), catalog.find)
             output = spec.get("output")
             if write and output:

@@ -3,12 +3,12 @@
 The optimiser keeps a byte estimate for every plan. It starts from file sizes,
 which are compressed, so the limits below leave room for data several times
 larger in memory. Where no estimate is available the answer is "large", which
-always has a distributed plan. :func:`measured_lookup` measures instead of estimating.
+always has a distributed plan. Joins are not decided here: the adaptive planner measures.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 # Below this a broadcast copy per executor is cheap.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -27,25 +27,3 @@ def estimated_bytes(df: DataFrame) -> int | None:
 def fits(df: DataFrame, limit: int) -> bool:
     size = estimated_bytes(df)
     return size is not None and size <= limit
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only when the estimate is within ``limit``.
-
-    Beyond it the frame is returned as it is and the join shuffles, with the
-    adaptive planner splitting hot keys.
-    """
-    return F.broadcast(df) if fits(df, limit) else df
-
-
-def measured_lookup(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """Run ``df`` and return it as a broadcastable literal table if it has at most ``max_rows`` rows.
-
-    At most ``max_rows + 1`` rows ever reach the driver. ``None`` means the table
-    is larger and the caller must join by shuffle. Use it where the result of an
-    aggregate decides whether a much larger table has to be shuffled at all.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return None
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))

@@ -33,8 +33,9 @@ def read_csv(
 
     Types are not guessed: guessing turns ``014`` into 14. Cast with a schema
     afterwards. ``names`` names the columns of a file without a header.
-    ``multiline`` allows line breaks inside quotes, at the price of one task per
-    file; switch it off for large files without them, or convert once to Parquet.
+    ``multiline`` allows line breaks inside quotes, at the price of one task per file;
+    switch it off for large files without them (in a run: ``multiline: false`` in the
+    data set), and they are read in parallel.
     """
     reader = spark.read.option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", multiline)
     if names:
@@ -81,8 +82,8 @@ def _cut(uri: str, depth: int) -> str:
     return f"{place}/{'/'.join(parts)}"
 
 
-def read_newest(spark: SparkSession, pattern: str, sep: str = ",") -> DataFrame:
-    return read_table(spark, newest_path(spark, pattern), sep=sep)
+def read_newest(spark: SparkSession, pattern: str, sep: str = ",", multiline: bool = True) -> DataFrame:
+    return read_table(spark, newest_path(spark, pattern), sep=sep, multiline=multiline)
 
 
 def read_typed_or_raw(spark: SparkSession, spec: Mapping[str, Any]) -> DataFrame:

@@ -21,12 +21,11 @@ def test_snake_lower(spark):
     assert values(df.select(snake_lower(F.col("c")).alias("c")), "c") == ["new_york", "sao_paulo", "a_b", "a_b", None]
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_city_state(spark, limit):
+def test_city_state(spark):
     df = spark.createDataFrame(
         [("paris", "sp"), ("paris", "rj"), ("lyon", "sp"), ("paris", None), (None, "sp")], "city string, state string"
     )
-    got = rows.disambiguate_city_state(df, "city", "state", max_broadcast_rows=limit)
+    got = rows.disambiguate_city_state(df, "city", "state")
     assert sorted(map(str, values(got, "city"))) == ["None", "None", "lyon", "paris_rj", "paris_sp"]
     assert rows.disambiguate_city_state(df, "city", "absent").columns == df.columns
 
@@ -210,7 +209,8 @@ def test_column_check(spark):
 
 
 def test_pattern():
-    assert spark_pattern("%Y-%m-%dT%H:%M:%S.%f%z") == "yyyy-MM-dd'T'HH:mm:ss.SSSSSS[XXX][XX]"
+    assert spark_pattern("%Y-%m-%dT%H:%M:%S.%f%z") == "yyyy-M-d'T'H:m:s.SSSSSS[XXX][XX]"
+    assert spark_pattern("%Y%m%d %H%M") == "yyyyMMdd HHmm"
     with pytest.raises(ValueError):
         spark_pattern("%Q")
 

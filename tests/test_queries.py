@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as registered
+import workloads
 from tests.compare import difference
+from workloads.registry import ORACLES, QUERIES
 
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+workloads.load_all()
 # Model fits are tested with invariants in test_models.
 FITS = {
     "fit_logreg", "fit_rf", "fit_logreg_multiclass", "cv_metrics", "predictions", "fit_report",

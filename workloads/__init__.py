@@ -6,7 +6,7 @@ from importlib import import_module
 
 MODULES = [
     "sources", "casting", "tables", "joining", "aggregating", "deriving", "labelling",
-    "checking", "preparing", "modelling", "chains",
+    "checking", "preparing", "modelling", "chains", "facts",
 ]
 
 

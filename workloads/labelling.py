@@ -43,24 +43,23 @@ def balance(spark, d):
     return churn_balance(labelled(spark, d))
 
 
-_ENDS = ["2024-01-08", "2024-01-15", "2024-01-22"]
 _WINDOW = """SELECT user_id, e AS window_end, count(*) FILTER (ts < e) AS n_before,
         (count(*) FILTER (ts >= e) = 0)::INT AS inactive
-    FROM ({source}) JOIN (SELECT unnest([{ends}]) AS e) ON ts >= e - INTERVAL 7 DAY AND ts < e + INTERVAL {n} DAY
+    FROM ({source}) JOIN (SELECT unnest(generate_series(date_trunc('day', min(ts)) + INTERVAL 7 DAY, max(ts), INTERVAL 7 DAY)) AS e FROM ({source})) ON ts >= e - INTERVAL 7 DAY AND ts < e + INTERVAL {n} DAY
     WHERE e + INTERVAL {n} DAY <= (SELECT max(ts) FROM ({source}))
     GROUP BY ALL HAVING count(*) FILTER (ts < e) > 0"""
 
 
 def _window_sql(source: str, n: int) -> str:
-    return _WINDOW.format(source=source, n=n, ends=", ".join(f"TIMESTAMP '{e}'" for e in _ENDS))
+    return _WINDOW.format(source=source, n=n)
 
 
 @query("inactivity_label", _window_sql("SELECT * FROM events WHERE event_type = 'purchase'", 3))
 def inactivity(spark, d):
     purchases = table(spark, d, "events").filter("event_type = 'purchase'")
-    return inactivity_label(purchases, "user_id", "ts", _ENDS, 7, 3)
+    return inactivity_label(purchases, "user_id", "ts", None, 7, 3)
 
 
 @query("inactivity_label_all", _window_sql("SELECT * FROM events", 7))
 def inactivity_all(spark, d):
-    return inactivity_label(table(spark, d, "events"), "user_id", "ts", _ENDS, 7, 7)
+    return inactivity_label(table(spark, d, "events"), "user_id", "ts", None, 7, 7)

@@ -10,9 +10,8 @@ from workloads.labelling import labelled
 from workloads.registry import query, rounded, table
 
 
-def churn_frame(spark, d):
-    """One row per customer with a churn label and a few of the customer's numbers."""
-    label = labelled(spark, d).filter("churned IS NOT NULL").select("o_custkey", "churned").distinct()
+def customer_frame(spark, d):
+    """One row per customer, with or without orders, and a few of the customer's numbers."""
     orders = table(spark, d, "orders")
     behaviour = orders.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"),
@@ -25,13 +24,19 @@ def churn_frame(spark, d):
         F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("balance"),
         F.col("c_mktsegment").alias("segment"),
     )
-    return customers.join(behaviour, "o_custkey").join(label, "o_custkey")
+    return customers.join(behaviour, "o_custkey", "left")
+
+
+def churn_frame(spark, d):
+    """The customers with orders and a churn label."""
+    label = labelled(spark, d).filter("churned IS NOT NULL").select("o_custkey", "churned").distinct()
+    return customer_frame(spark, d).filter("n_orders IS NOT NULL").join(label, "o_custkey")
 
 
 def embedding_frame(spark, d):
-    """Ten classes over the first coordinates of each vector."""
+    """Ten classes over the coordinates of each vector."""
     vectors = table(spark, d, "embeddings")
-    return vectors.select("vec_id", "label", *[F.col("embedding")[i].alias(f"e{i}") for i in range(16)])
+    return vectors.select("vec_id", "label", *[F.col("embedding")[i].alias(f"e{i}") for i in range(64)])
 
 
 CHURN = {"target": "churned", "id_cols": ["o_custkey"], "random_state": 42, "test_size": 0.2, "cv": {"n_splits": 5}}
@@ -197,7 +202,7 @@ def fit_rf(spark, d):
 
 @query("fit_logreg_multiclass")
 def fit_logreg_multiclass(spark, d):
-    config = {"target": "label", "id_cols": ["vec_id"], "model": {"name": "logreg", "params": {"max_iter": 200}}}
+    config = {"target": "label", "id_cols": ["vec_id"], "model": {"name": "logreg", "params": {"class_weight": "balanced"}}}
     return models.fit(config, embedding_frame(spark, d)).metrics
 
 
@@ -222,11 +227,11 @@ def predict_saved_model(spark, d):
     frame = churn_frame(spark, d)
     place = shared_folder(spark, "model")
     models.save_model(models.fit(LOGREG, frame).model, place)
-    return models.predict(models.load_model(place), frame.drop("churned"), ["o_custkey"])
+    return models.predict(models.load_model(place), customer_frame(spark, d), ["o_custkey"])
 
 
 @query("feature_importance")
 def feature_importance(spark, d):
     frame = churn_frame(spark, d)
-    fitted = models.fit({**FOREST, "model": {"name": "rf", "params": {"n_estimators": 60}}}, frame)
+    fitted = models.fit(FOREST, frame)
     return models.feature_importance(spark, fitted.model, frame)

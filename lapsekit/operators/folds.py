@@ -37,20 +37,23 @@ def _keyed(df: DataFrame, label: str | None, ids: list[str], seed: int, range_bi
     )
 
 
-def _offsets(keyed: DataFrame) -> DataFrame:
-    """Per class and range: rows of earlier ranges in the class, rows of earlier classes, class size."""
+def _offsets(keyed: DataFrame, label: str | None) -> DataFrame:
+    """Per class and range: rows of earlier ranges in the class, rows of earlier classes, class size.
+
+    Ranges are accumulated inside their class; only the totals of whole classes, one
+    row each, are accumulated over all classes.
+    """
     sizes = keyed.groupBy(*_BY_RANGE).agg(F.count(F.lit(1)).alias("n"))
-    in_class = Window.partitionBy("__class")
     before = (Window.unboundedPreceding, -1)
-    # One running total over classes x 2^range_bits rows at most.
-    overall = Window.partitionBy(F.lit(0)).orderBy(*_BY_RANGE).rowsBetween(*before)
-    offset = F.coalesce(F.sum("n").over(in_class.orderBy("__range").rowsBetween(*before)), F.lit(0))
-    return sizes.select(
-        *_BY_RANGE,
-        offset.alias("__offset"),
-        (F.coalesce(F.sum("n").over(overall), F.lit(0)) - offset).alias("__before"),
-        F.sum("n").over(in_class).alias("__size"),
-    )
+    in_class = Window.partitionBy("__class")
+    offset = F.coalesce(F.sum("n").over(in_class.orderBy("__range").rowsBetween(*before)), F.lit(0)).alias("__offset")
+    if label is None:
+        # A single class: one row per range.
+        return sizes.select(*_BY_RANGE, offset, F.lit(0).alias("__before"), F.sum("n").over(in_class).alias("__size"))
+    totals = sizes.groupBy("__class").agg(F.sum("n").alias("__size"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("__class").rowsBetween(*before)
+    totals = totals.withColumn("__before", F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
+    return sizes.select(*_BY_RANGE, offset).join(totals, "__class").select(*_BY_RANGE, "__offset", "__before", "__size")
 
 
 def _ranked(keyed: DataFrame, offsets: DataFrame, ids: list[str]) -> DataFrame:
@@ -79,7 +82,7 @@ def kfold_assign(
     ids = as_list(id_cols) or df.columns
     keyed = _keyed(df, label, ids, seed, range_bits or range_bits_for(df))
     place = F.col("__before") + F.col("__rank") - 1
-    ranked = _ranked(keyed, _offsets(keyed), ids)
+    ranked = _ranked(keyed, _offsets(keyed, label), ids)
     return ranked.select(*df.columns, F.pmod(place, F.lit(n_splits)).cast("int").alias(fold_col))
 
 
@@ -100,7 +103,7 @@ def holdout_split(
     """
     ids = as_list(id_cols) or df.columns
     keyed = _keyed(df, label, ids, seed, range_bits or range_bits_for(df))
-    offsets = _offsets(keyed)
+    offsets = _offsets(keyed, label)
     if label is None:
         rows_wanted = F.ceil(F.round(F.sum("n") * float(test_size), 9))
         quota = keyed.groupBy(*_BY_RANGE).agg(F.count(F.lit(1)).alias("n")).agg(rows_wanted).scalar()

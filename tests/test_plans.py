@@ -98,3 +98,14 @@ def test_ranges_grow_with_the_table(spark, monkeypatch):
     monkeypatch.setattr(sizing, "estimated_bytes", lambda frame: 100 * 10**12)
     assert folds.range_bits_for(df) == folds.LARGE_RANGE_BITS
     assert folds.kfold_assign(df, None, "x", 5).groupBy("fold").count().count() == 5
+
+
+def test_folds_accumulate_classes_not_ranges(spark):
+    from lapsekit.operators import folds
+
+    df = spark.range(4000).selectExpr("id", "CAST(id % 3 AS STRING) AS label")
+    assigned = folds.kfold_assign(df, "label", "id", 5)
+    rows = assigned.groupBy("label", "fold").count().collect()
+    assert len(rows) == 15 and max(r["count"] for r in rows) - min(r["count"] for r in rows) <= 1
+    single = [line for line in plan_of(assigned).splitlines() if "SinglePartition" in line]
+    assert len(single) <= 1

@@ -25,6 +25,7 @@ from lapsekit.llm.texts import mix, pieces, shingle_sets
 from lapsekit.session import materialize
 
 COORDINATES, BAND = 160, 5
+SMALL, BLOCK_ITEMS = 6, 1 << 20
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -113,13 +114,73 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return joined.where(100 * common >= threshold * total).select("a", "b")
 
 
+def _small(open_: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links between different components inside small buckets, from their few pairs."""
+    few = open_.where(F.col("c") <= SMALL)
+    left = few.select("key", F.col("id").alias("a"), F.col("component").alias("x"))
+    right = few.select("key", F.col("id").alias("b"), F.col("component").alias("y"))
+    pairs = left.join(right, "key").where("a < b and x <> y").select("a", "b").distinct()
+    return _confirmed(pairs, sets, threshold)
+
+
+def _across(threshold: int):
+    def run(group: pa.Table) -> pa.Table:
+        """Links that join components of one block; members of the largest component are only compared with others."""
+        group = group.combine_chunks()
+        ids, owner = group["id"].to_numpy(), group["component"].to_numpy()
+        items = group["items"].combine_chunks()
+        starts = items.offsets.to_numpy()
+        codes = np.unique(items.values.to_numpy()[starts[0] : starts[-1]], return_inverse=True)[1]
+        starts = starts - starts[0]
+        size = np.diff(starts)
+        names, local = np.unique(owner, return_inverse=True)
+        parent = list(range(len(names)))
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = i = parent[parent[i]]
+            return i
+
+        a, b = [], []
+        held = np.zeros(codes.max(initial=0) + 1, dtype=np.int32)
+        for i in np.flatnonzero(local != np.bincount(local).argmax()):
+            mine = codes[starts[i] : starts[i + 1]]
+            held[mine] = 1
+            common = np.add.reduceat(held[codes], starts[:-1])
+            held[mine] = 0
+            for j in np.flatnonzero((100 * common >= threshold * (size + size[i] - common)) & (local != local[i])):
+                x, y = root(local[i]), root(local[j])
+                if x != y:
+                    parent[x] = y
+                    a.append(ids[i])
+                    b.append(ids[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _large(open_: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links between different components inside large buckets.
+
+    A bucket is dealt into blocks of about ``BLOCK_ITEMS`` shingles, and every two
+    blocks meet in one task, which compares in place and returns one link for each
+    two components it joins: no pair is left out and none is written.
+    """
+    many = open_.where(F.col("c") > SMALL).join(sets, "id")
+    blocks = many.groupBy("key").agg(F.ceil(F.sum(F.size("items")) / BLOCK_ITEMS).cast("int").alias("blocks"))
+    dealt = many.join(blocks, "key").withColumn("i", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    dealt = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "id", "component", "items")
+    return dealt.groupBy("key", "i", "j").applyInArrow(_across(threshold), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs(doc_id, text)``.
 
     Rows with equal sets are one node, so a group of copies of any size costs one
-    sketch. Inside a bucket all members are first checked against its smallest one;
-    pairs are only formed between members that are then still in different
-    components, so a bucket of thousands of near copies stays linear.
+    sketch. Inside a bucket all members are first checked against its most central
+    one. Only buckets whose members are then still in different components are
+    looked at again, and there only members of different components are compared.
 
     Nulls and empty texts have no shingles and are linked with nothing. A null
     ``doc_id`` is linked with nothing, has no component and is not kept. Rows that
@@ -131,9 +192,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
     digest = ["n_shingles", "d1", "d2"]
     usable = rows.where("n_shingles > 0 and doc_id is not null")
     nodes = materialize(usable.groupBy(*digest).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "nodes")
-    members = nodes.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    buckets = members.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("c")).where("c > 1")
-    members = materialize(members.join(buckets.select("key", "pivot"), "key"), "members")
+    placed = nodes.select("id", F.explode("bands").alias("key"))
+    buckets = placed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    placed = materialize(placed.join(buckets, "key"), "placed")
+    # The member that meets most others is nearest to the text they were all made from: the best one to check first.
+    met = placed.groupBy("id").agg(F.sum("c").alias("met"))
+    placed = placed.join(met, "id").withColumn("rank", F.struct("met", -F.col("id")))
+    pivots = placed.groupBy("key").agg((-F.max("rank")["col2"]).alias("pivot"))
+    members = materialize(placed.select("key", "id", "c").join(pivots, "key"), "members")
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
     sets = materialize(base.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(shingle), "id long, items array<long>"), "sets")
 
@@ -141,16 +207,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
     links = materialize(_confirmed(stars, sets, threshold), "links")
     found = materialize(components(links), "components")
 
-    labelled = members.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
+    labelled = members.join(found, "id", "left").select("key", "c", "id", F.coalesce("component", "id").alias("component"))
     split = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     open_ = materialize(labelled.join(split.select("key"), "key", "left_semi"), "open")
-    left = open_.select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    right = open_.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    near = (100 * F.col("n_a") >= threshold * F.col("n_b")) & (100 * F.col("n_b") >= threshold * F.col("n_a"))
-    rest = left.join(right, "key").where(near & (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
-    rest = rest.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    more = _confirmed(rest, sets, threshold)
-    final = components(links.unionByName(more))
+    final = components(links.unionByName(_small(open_, sets, threshold)).unionByName(_large(open_, sets, threshold)))
 
     classes = nodes.select(*digest, "id").join(final, "id", "left").select(*digest, F.coalesce("component", "id").alias("class"))
     same = rows.select("doc_id", *digest).join(classes, digest, "left")

@@ -41,20 +41,23 @@ def steps_orders(spark, d):
 
 # The raw tables of the multi-table run: the same expressions in both engines.
 RAW = {
-    "facts": """SELECT o_orderkey AS order_id, upper(o_orderstatus) AS order_status, o_totalprice AS order_products_value,
-        CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_custkey END AS customer_id, o_orderkey % 200 AS product_id,
+    "facts": """SELECT o_orderkey AS order_id, upper(o_orderstatus) AS order_status, l_extendedprice AS order_products_value,
+        l_quantity AS order_items_qty, l_linenumber AS line, l_discount AS product_name_lenght, l_shipdate AS review_creation_date,
+        l_returnflag AS review_comment_title,
+        CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_custkey END AS customer_id, l_partkey AS product_id,
         o_orderpriority AS product_category_name, o_orderdate AS order_purchase_timestamp,
         CASE WHEN o_orderkey % 3 = 0 THEN 'Porto Alegre' WHEN o_orderkey % 3 = 1 THEN 'Santos' ELSE 'Natal' END AS customer_city,
-        CASE WHEN o_orderkey % 6 = 3 THEN 'RS' WHEN o_orderkey % 6 = 0 THEN 'PA' ELSE 'SP' END AS customer_state FROM {orders}""",
+        CASE WHEN o_orderkey % 6 = 3 THEN 'RS' WHEN o_orderkey % 6 = 0 THEN 'PA' ELSE 'SP' END AS customer_state
+        FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     "payments": """SELECT l_orderkey AS order_id, l_linenumber AS sequential, l_quantity AS installments,
         l_returnflag AS payment_type, l_extendedprice AS value FROM {lineitem}""",
     "measures": "SELECT p_partkey AS product_id, p_size AS product_weight_g, p_retailprice AS product_length_cm FROM {part}",
     "customers": "SELECT c_custkey AS customer_id, c_name AS customer_unique_id FROM {customer}",
-    "sellers": """SELECT DISTINCT l_orderkey AS order_id, l_orderkey % 200 AS product_id, s_name AS seller_id,
+    "sellers": """SELECT l_orderkey AS order_id, l_partkey AS product_id, CASE WHEN l_linenumber = 7 THEN NULL ELSE s_name END AS seller_id,
         n_name AS seller_city, r_name AS seller_state
         FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey JOIN {nation} ON s_nationkey = n_nationkey
         JOIN {region} ON n_regionkey = r_regionkey""",
-    "translation": """SELECT DISTINCT o_orderpriority AS product_category_name,
+    "translation": """SELECT o_orderpriority AS product_category_name,
         substring(o_orderpriority, 3) AS product_category_name_english FROM {orders}""",
 }
 _NAMES = ["orders", "lineitem", "part", "customer", "supplier", "nation", "region"]
@@ -105,12 +108,24 @@ DATASETS = [
             {"op": "dropna_rows", "subset": ["order_id", "order_status", "customer_id"], "how": "any"},
             {"op": "lowercase_categoricals", "cat_cols": ["order_status", "customer_city", "customer_state", "product_category_name"]},
             {"op": "disambiguate_city_state", "city_col": "customer_city", "state_col": "customer_state"},
+            {"op": "rename_columns", "mapping": {"product_name_lenght": "product_name_length"}},
+            {
+                "op": "groupby_aggregate",
+                "by": "order_id",
+                "sum_cols": ["order_products_value", "order_items_qty"],
+                "mean_cols": ["product_name_length"],
+                "min_cols": ["review_creation_date"],
+                "first_for_rest": True,
+                "order_by": ["line", "product_id", "order_products_value"],
+            },
         ],
     },
     {
         "name": "sellers_basic",
         "input": "sellers",
         "steps": [
+            {"op": "dropna_rows", "subset": ["order_id", "product_id", "seller_id"], "how": "any"},
+            {"op": "drop_duplicates", "subset": "all", "keep": "first", "ignore_index": True},
             {"op": "lowercase_categoricals", "cat_cols": ["seller_city", "seller_state"]},
             {"op": "disambiguate_city_state", "city_col": "seller_city", "state_col": "seller_state"},
         ],
@@ -120,6 +135,7 @@ DATASETS = [
         "input": "translation",
         "steps": [
             {"op": "lowercase_categoricals"},
+            {"op": "dropna_rows", "subset": ["product_category_name", "product_category_name_english"], "how": "any"},
             {"op": "drop_duplicates", "subset": "all"},
         ],
     },
@@ -137,7 +153,11 @@ DATASETS = [
     {
         "name": "master_clean",
         "input": "master_basic",
-        "steps": [{"op": "drop_duplicates", "subset": "all"}, {"op": "dropna_rows", "how": "any"}],
+        "steps": [
+            {"op": "drop_duplicates", "subset": "all"},
+            {"op": "drop_columns", "cols": ["review_comment_title"]},
+            {"op": "dropna_rows", "how": "any"},
+        ],
     },
     {
         "name": "master_labelled",
@@ -175,11 +195,16 @@ WITH payments AS (SELECT order_id, sum(sequential)::BIGINT AS sequential, round(
         round(avg(installments), 6) AS installments, min(lower(payment_type)) AS payment_type
       FROM (SELECT DISTINCT * FROM ({DUCK_RAW["payments"]})) GROUP BY order_id),
   facts0 AS (SELECT DISTINCT * FROM ({DUCK_RAW["facts"]}) WHERE customer_id IS NOT NULL),
-  facts AS (SELECT * REPLACE (lower(order_status) AS order_status, replace(lower(product_category_name), ' ', '_') AS product_category_name,
+  facts1 AS (SELECT * REPLACE (lower(order_status) AS order_status, replace(lower(product_category_name), ' ', '_') AS product_category_name,
         replace(lower(customer_city), ' ', '_') || CASE WHEN customer_city IN (SELECT customer_city FROM facts0 GROUP BY 1
           HAVING count(DISTINCT customer_state) > 1) THEN '_' || lower(customer_state) ELSE '' END AS customer_city,
         lower(customer_state) AS customer_state) FROM facts0),
-  sellers0 AS ({DUCK_RAW["sellers"]}),
+  facts AS (SELECT * EXCLUDE (order_products_value, order_items_qty, product_name_lenght, review_creation_date, place),
+        total AS order_products_value, items AS order_items_qty FROM (SELECT *,
+        round(sum(order_products_value) OVER w, 2) AS total, sum(order_items_qty) OVER w AS items,
+        row_number() OVER (PARTITION BY order_id ORDER BY line, product_id, order_products_value) AS place
+        FROM facts1 WINDOW w AS (PARTITION BY order_id)) WHERE place = 1),
+  sellers0 AS (SELECT DISTINCT * FROM ({DUCK_RAW["sellers"]}) WHERE seller_id IS NOT NULL),
   sellers AS (SELECT order_id, product_id, seller_id, replace(lower(seller_city), ' ', '_') || CASE WHEN seller_city IN
         (SELECT seller_city FROM sellers0 GROUP BY 1 HAVING count(DISTINCT seller_state) > 1)
         THEN '_' || replace(lower(seller_state), ' ', '_') ELSE '' END AS seller_city,
@@ -220,7 +245,7 @@ def _run(spark, d):
 )
 def steps_master(spark, d):
     found = _run(spark, d)["baseline_dataset"]
-    return rounded(rounded(found, ["summary_payments_value"], 2), ["installments"])
+    return rounded(rounded(found, ["summary_payments_value", "order_products_value"], 2), ["installments"])
 
 
 @query(

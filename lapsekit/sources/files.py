@@ -61,27 +61,18 @@ def read_headerless_tsv(spark: SparkSession, path: str, names: Sequence[str]) ->
 def newest_path(spark: SparkSession, pattern: str) -> str:
     """The lexicographically last file or table folder matching a glob.
 
-    Only the listing is read. Sort-friendly names (dates) make this the newest.
+    The file system lists what the glob itself matches, not the files inside tables.
+    Sort-friendly names (dates) make this the newest; hidden names do not count.
     """
-    try:
-        files = spark.read.text(pattern).inputFiles()
-    except AnalysisException as error:
-        raise FileNotFoundError(f"nothing matches {pattern}") from error
-    if not files:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    found = [s.getPath() for s in listed or []]
+    matches = [str(p.toString()) for p in found if not p.getName().startswith(("_", "."))]
+    if not matches:
         raise FileNotFoundError(f"nothing matches {pattern}")
-    depth = len([p for p in urlparse(pattern).path.split("/") if p])
-    matches = {_cut(f, depth) for f in files}
     return max(matches)
 
 
-def _cut(uri: str, depth: int) -> str:
-    """The first ``depth`` path elements of a file URI: what the glob itself matched."""
-    parsed = urlparse(uri)
-    parts = [p for p in unquote(parsed.path).split("/") if p][:depth]
-    place = f"{parsed.scheme}://{parsed.netloc}" if parsed.scheme else ""
-    return f"{place}/{'/'.join(parts)}"
-
-
 def read_newest(spark: SparkSession, pattern: str, sep: str = ",", multiline: bool = True) -> DataFrame:
     return read_table(spark, newest_path(spark, pattern), sep=sep, multiline=multiline)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import os
 import re
 from collections.abc import Mapping
@@ -29,6 +30,8 @@ def _literal(value: Any) -> str:
         return "NULL"
     if isinstance(value, bool):
         return "TRUE" if value else "FALSE"
+    if isinstance(value, float) and not math.isfinite(value):
+        raise ValueError("a number that is not finite cannot be a query parameter")
     if isinstance(value, (int, float)):
         return repr(value)
     if isinstance(value, dt.datetime):
@@ -36,6 +39,9 @@ def _literal(value: Any) -> str:
     if isinstance(value, dt.date):
         return f"DATE '{value:%Y-%m-%d}'"
     if isinstance(value, str):
+        # Some databases read a backslash as an escape, which could end the literal early.
+        if "\\" in value or "\0" in value:
+            raise ValueError("a query parameter may not hold a backslash or a NUL")
         return "'" + value.replace("'", "''") + "'"
     raise TypeError(f"cannot use {type(value).__name__} as a query parameter")
 

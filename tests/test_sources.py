@@ -100,3 +100,9 @@ def test_stream_equals_batch(spark, sf_dir, folder):
 
 def test_shared_folder_is_fresh(spark):
     assert shared_folder(spark, "x") != shared_folder(spark, "x")
+
+
+@pytest.mark.parametrize("value", ["a\\\\' OR 1=1", "a\\0b", float("nan"), float("inf")])
+def test_unsafe_parameters_are_refused(value):
+    with pytest.raises(ValueError):
+        bind("SELECT :x", {"x": value})

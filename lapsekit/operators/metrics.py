@@ -136,7 +136,7 @@ def _auc_per_class(scored: DataFrame, single_task_bytes: int) -> DataFrame:
 
 
 def roc_auc(
-    df: DataFrame, label: str, score: str, positive: Any = 1, single_task_bytes: int = SINGLE_TASK_BYTES
+    df: DataFrame, label: str, score: str | Column, positive: Any = 1, single_task_bytes: int = SINGLE_TASK_BYTES
 ) -> DataFrame:
     """One row: ``roc_auc`` of the score for the positive class; null without both classes.
 
@@ -144,7 +144,7 @@ def roc_auc(
     """
     scored = df.filter(F.col(label).isNotNull()).select(
         F.lit("1").alias("class"),
-        F.col(score).cast("double").alias("score"),
+        (score if isinstance(score, Column) else F.col(score)).cast("double").alias("score"),
         (F.col(label) == F.lit(positive)).alias("positive"),
     )
     return _auc_per_class(scored, single_task_bytes).select(F.col("auc").alias("roc_auc"))

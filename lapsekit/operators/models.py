@@ -199,6 +199,10 @@ def predict(
     )
 
 
+def _score(name: Any) -> Column:
+    return F.col(f"`proba_{name}`")
+
+
 def evaluate(scored: DataFrame, label: str, classes: Sequence[Any]) -> DataFrame:
     """``metric``, ``value`` rows from a frame of labels, ``prediction`` and ``proba_<class>``."""
     wanted = M.scoring_names(len(classes))
@@ -206,10 +210,10 @@ def evaluate(scored: DataFrame, label: str, classes: Sequence[Any]) -> DataFrame
     if len(classes) <= 2:
         positive = str(classes[-1])
         basic = M.binary_metrics(text, "__truth", "prediction", positive)
-        ranked = M.roc_auc(text, "__truth", f"proba_{classes[-1]}", positive)
+        ranked = M.roc_auc(text, "__truth", _score(classes[-1]), positive)
     else:
         basic = M.classification_metrics(text, "__truth", "prediction")
-        ranked = M.roc_auc_ovr(text, "__truth", {c: f"proba_{c}" for c in classes})
+        ranked = M.roc_auc_ovr(text, "__truth", {c: _score(c) for c in classes})
     parts = []
     for source in (basic, ranked):
         names = [n for n in source.columns if n in wanted]
@@ -288,7 +292,7 @@ def fit(config: Mapping[str, Any], df: DataFrame) -> FittedBaseline:
         *ids,
         F.col(target).alias("y_true"),
         F.col("prediction").cast(df.schema[target].dataType).alias("y_pred"),
-        *[F.col(f"proba_{c}") for c in classes],
+        *[_score(c) for c in classes],
     )
     return FittedBaseline(
         model,

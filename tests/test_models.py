@@ -127,3 +127,25 @@ def test_zero_division(spark):
     row = metrics.binary_metrics(df, "l", "p").first()
     assert (row["precision"], row["recall"], row["f1"]) == (0.0, 0.0, 0.0)
     assert metrics.roc_auc(df.filter("l = 1"), "l", "p").first()["roc_auc"] is None
+
+
+@pytest.mark.parametrize("name", ["logreg", "rf"])
+def test_balanced_weights_and_boolean_targets(spark, name):
+    df = spark.range(400).selectExpr("id", "id % 10 = 0 AS gone", "CAST(id % 10 = 0 AS DOUBLE) * 0.4 + rand(3) AS x")
+    params = {"max_depth": 3, "n_estimators": 20} if name == "rf" else {}
+    shares = []
+    for weight in (None, "balanced", {"true": 1.0, "false": 1.0}):
+        config = {"target": "gone", "id_cols": ["id"], "numeric_features": ["x"], "model": {"name": name, "params": {**params, "class_weight": weight}}}
+        fitted = models.fit(config, df)
+        assert fitted.classes == ["false", "true"]
+        assert {f.name: f.dataType.simpleString() for f in fitted.predictions.schema}["y_pred"] == "boolean"
+        shares.append(fitted.predictions.filter("y_pred").count())
+    assert shares[1] > shares[0] == shares[2]
+    with pytest.raises(ValueError):
+        models.build_model(name, {"class_weight": "heavy"})
+
+
+def test_double_targets_keep_sparks_names(spark):
+    df = spark.range(60).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 1e10 ELSE 0.5 END AS y", "CAST(id % 2 AS DOUBLE) AS x")
+    fitted = models.fit({"target": "y", "id_cols": ["id"], "numeric_features": ["x"], "model": {"name": "logreg"}}, df)
+    assert fitted.classes == ["0.5", "1.0E10"] and fitted.predictions.filter("y_pred = y_true").count() == 12

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, functions as F, types as T
 
 # (?U) makes \s cover Unicode spaces such as the no-break space; the four
@@ -17,14 +19,19 @@ def snake_lower(col: Column) -> Column:
     return F.regexp_replace(F.lower(col.cast("string")), WHITESPACE_RUN, "_")
 
 
-@F.pandas_udf(T.StringType())
-def _without_marks(values: pd.Series) -> pd.Series:
-    def plain(text):
-        if text is None:
-            return None
-        return "".join(ch for ch in unicodedata.normalize("NFKD", text) if not unicodedata.combining(ch))
+@cache
+def _marks() -> str:
+    """A pattern of all characters with a combining class, as ranges."""
+    marks = [c for c in range(0x110000) if unicodedata.combining(chr(c))]
+    starts = [c for i, c in enumerate(marks) if not i or marks[i - 1] != c - 1]
+    ends = [c for i, c in enumerate(marks) if i + 1 == len(marks) or marks[i + 1] != c + 1]
+    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in zip(starts, ends)) + "]+"
 
-    return values.map(plain, na_action="ignore")
+
+@F.arrow_udf(T.StringType())
+def _without_marks(values: pa.Array) -> pa.Array:
+    decomposed = pa.compute.utf8_normalize(values, form="NFKD")
+    return pa.compute.replace_substring_regex(decomposed, pattern=_marks(), replacement="")
 
 
 def strip_accents(col: Column) -> Column:

@@ -1,6 +1,7 @@
 """Null, tie and edge rules on toy frames."""
 
 import datetime as dt
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -285,3 +286,12 @@ def test_step_errors(spark):
     ):
         with pytest.raises(StepError, match=text):
             apply_steps(df, steps)
+
+
+def test_accents_go_and_letters_stay(spark):
+    from lapsekit.functions.text import strip_accents
+
+    words = ["São Paulo", "plain", "Ŝ̌z", "ﬁ", "日本", "ñandú", "", None, "हिन्दी"]
+    df = spark.createDataFrame([(w,) for w in words], "c string")
+    plain = [None if w is None else "".join(c for c in unicodedata.normalize("NFKD", w) if not unicodedata.combining(c)) for w in words]
+    assert values(df.select(strip_accents(F.col("c")).alias("c")), "c") == plain

@@ -112,19 +112,30 @@ class FillAndScale(Estimator):
     Fitting fetches one number or word per column.
     """
 
-    def __init__(self, numeric: Sequence[str], categorical: Sequence[str]):
+    def __init__(self, numeric: Sequence[str], categorical: Sequence[str], max_categories: int = MAX_DUMMIES):
         super().__init__()
-        self.numeric, self.categorical = list(numeric), list(categorical)
+        self.numeric, self.categorical, self.max_categories = list(numeric), list(categorical), max_categories
+
+    def _refuse_wide(self, sizes: Mapping[str, int]) -> None:
+        wide = sorted(c for c, n in sizes.items() if n > self.max_categories)
+        if wide:
+            raise ValueError(f"more than {self.max_categories} categories in {wide}; leave these columns out or raise max_categories")
 
     def _fit(self, dataset: DataFrame) -> SQLTransformer:
         parts = []
+        sizes = {c: F.approx_count_distinct(c).alias(f"d_{c}") for c in self.categorical}
+        if not self.numeric and sizes:
+            row = dataset.agg(*sizes.values()).first()
+            self._refuse_wide({c: row[f"d_{c}"] for c in sizes})
         if self.numeric:
             centre = {r["name"]: r["value"] for r in medians(dataset, self.numeric).toArrow().to_pylist()}
             filled = {c: F.coalesce(_number(c), F.lit(centre.get(c) or 0.0)) for c in self.numeric}
             row = dataset.agg(
                 *[F.avg(v).alias(f"m_{c}") for c, v in filled.items()],
                 *[F.stddev_pop(v).alias(f"s_{c}") for c, v in filled.items()],
+                *sizes.values(),
             ).first()
+            self._refuse_wide({c: row[f"d_{c}"] for c in sizes})
             for c in self.numeric:
                 mean, std = float(row[f"m_{c}"]), float(row[f"s_{c}"]) or 1.0
                 value = f"nanvl(CAST({_quoted(c)} AS DOUBLE), NULL)"
@@ -140,12 +151,18 @@ class FillAndScale(Estimator):
         return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-def preprocessor(numeric: Sequence[str], categorical: Sequence[str], output: str = "features") -> Pipeline:
+def preprocessor(
+    numeric: Sequence[str], categorical: Sequence[str], output: str = "features", max_categories: int = MAX_DUMMIES
+) -> Pipeline:
     """Impute and scale numbers, impute and one-hot categories, assemble one vector.
 
+    The categories of a column are fetched to the driver and each becomes a slot. A
+    column with (by a sketch) more than ``max_categories``, such as a name or an id, is an error
+    before anything is fetched.
+
     Categories unseen at fitting time are all zeros. Other columns are not used.
     """
-    stages: list = [FillAndScale(numeric, categorical)]
+    stages: list = [FillAndScale(numeric, categorical, max_categories)]
     inputs = [f"num__{c}" for c in numeric]
     if categorical:
         stages += [

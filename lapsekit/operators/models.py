@@ -113,6 +113,7 @@ def build_pipeline(
     """The unfitted pipeline and its numeric and categorical features.
 
     Features not listed in the configuration are taken from the frame's types.
+    ``max_categories`` bounds the categories of each text column.
     """
     numeric = list(config.get("numeric_features") or [])
     categorical = list(config.get("categorical_features") or [])
@@ -121,7 +122,8 @@ def build_pipeline(
         numeric, categorical = numeric or found[0], categorical or found[1]
     model = config.get("model") or {}
     classifier = build_model(model.get("name", "logreg"), model.get("params"))
-    return Pipeline(stages=[preprocessor(numeric, categorical), classifier]), numeric, categorical
+    most = {"max_categories": int(config["max_categories"])} if config.get("max_categories") else {}
+    return Pipeline(stages=[preprocessor(numeric, categorical, **most), classifier]), numeric, categorical
 
 
 def target_classes(df: DataFrame, target: str, most: int = MAX_CLASSES) -> list[Any]:

@@ -149,3 +149,10 @@ def test_double_targets_keep_sparks_names(spark):
     df = spark.range(60).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 1e10 ELSE 0.5 END AS y", "CAST(id % 2 AS DOUBLE) AS x")
     fitted = models.fit({"target": "y", "id_cols": ["id"], "numeric_features": ["x"], "model": {"name": "logreg"}}, df)
     assert fitted.classes == ["0.5", "1.0E10"] and fitted.predictions.filter("y_pred = y_true").count() == 12
+
+
+def test_wide_text_columns_are_refused(spark):
+    df = spark.range(500).selectExpr("id", "CAST(id % 2 AS INT) AS y", "CAST(id AS STRING) AS name", "CAST(id % 7 AS DOUBLE) AS x")
+    config = {"target": "y", "id_cols": ["id"], "max_categories": 100, "model": {"name": "logreg"}}
+    with pytest.raises(ValueError, match="more than 100 categories"):
+        models.fit(config, df)

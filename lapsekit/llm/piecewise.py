@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lapsekit.llm.texts import flat, mix, pieces
 
-MARKER, ALPHA, SLICE_BYTES = 0x2581, 1.0, 1 << 22
+MARKER, ALPHA, SLICE_BYTES = 0x2581, 1.0, 1 << 20
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _STRANGE = 0x110000  # stands for a marker that the text itself holds
 _BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -184,12 +184,11 @@ def sample(vocabulary: Vocabulary, column: pa.Array, keys: np.ndarray, seed: int
     if len(begin):
         letters = mix(points.astype(np.uint64) + _GOLDEN)
         with np.errstate(over="ignore"):
-            place = np.arange(len(points), dtype=np.uint64)
             first = np.repeat(begin, end - begin)
-            inner = np.concatenate([np.zeros(0, np.int64), np.arange(int((end - begin).sum())) - np.repeat(np.cumsum(end - begin) - (end - begin), end - begin)])
-            word_hash = np.add.reduceat(
-                mix(letters[first + inner] + inner.astype(np.uint64) * _GOLDEN), np.cumsum(end - begin) - (end - begin)
-            )
+            at = np.cumsum(end - begin) - (end - begin)
+            inner = np.arange(int((end - begin).sum())) - np.repeat(at, end - begin)
+            word_hash = np.add.reduceat(mix(letters[first + inner] + inner.astype(np.uint64) * _GOLDEN), at)
+        del letters, first, inner
         _, example, kind = np.unique(mix(word_hash + (end - begin).astype(np.uint64)), return_index=True, return_inverse=True)
         size = (end - begin)[example]
         stop = np.cumsum(size)

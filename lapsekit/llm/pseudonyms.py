@@ -19,6 +19,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from lapsekit.llm.texts import pieces
+
 DEFAULT_KEY = "change me"
 ROUNDS = 8
 KINDS = ["email", "ip", "card", "iban", "ssn", "phone", "date", "secret"]
@@ -254,8 +256,9 @@ def pseudonymised(docs: DataFrame, key: str = DEFAULT_KEY, decrypt: bool = False
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict = {}
         for batch in batches:
-            new = [replace(t, key, decrypt, memory)[0] for t in batch.column(at).to_pylist()]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
+            for part in pieces(batch, "text"):
+                new = [replace(t, key, decrypt, memory)[0] for t in part.column(at).to_pylist()]
+                yield part.set_column(at, part.schema.field(at), pa.array(new, part.schema.field(at).type))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -266,15 +269,16 @@ def report(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict = {}
         for batch in batches:
-            done = [replace(t, key, False, memory) for t in batch.column("text").to_pylist()]
-            kinds = [[k for _, k in found] for _, found in done]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), pa.array([t for t, _ in done], pa.string()), pa.array([len(k) for k in kinds], pa.int64()),
-                    *(pa.array([k.count(name) for k in kinds], pa.int64()) for name in KINDS),
-                ],
-                names=["doc_id", "text", "n_found", *(f"n_{name}" for name in KINDS)],
-            )
+            for part in pieces(batch, "text"):
+                done = [replace(t, key, False, memory) for t in part.column("text").to_pylist()]
+                kinds = [[k for _, k in found] for _, found in done]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"), pa.array([t for t, _ in done], pa.string()), pa.array([len(k) for k in kinds], pa.int64()),
+                        *(pa.array([k.count(name) for k in kinds], pa.int64()) for name in KINDS),
+                    ],
+                    names=["doc_id", "text", "n_found", *(f"n_{name}" for name in KINDS)],
+                )
 
     columns = ", ".join(f"n_{name} long" for name in KINDS)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from lapsekit.llm.texts import pieces
+
 PER_CLASS, LEXICON_MOST = 2000, 4000
 SHORTEST, LONGEST = 3, 14
 
@@ -103,17 +105,24 @@ def weigh(auto: ahocorasick.Automaton, words: list[str]) -> float:
     return sum(w for at, w in best.items() if not any(a <= at < b for a, b in excused))
 
 
+def _measured(auto: ahocorasick.Automaton, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Weight and number of words of each text; the words of one text at a time are in memory."""
+    weight, count, i = np.zeros(batch.num_rows), np.zeros(batch.num_rows, dtype=np.int64), 0
+    for part in pieces(batch, "text"):
+        for text in part.column("text").to_pylist():
+            words = fold(text)
+            weight[i], count[i] = weigh(auto, words), len(words)
+            i += 1
+    return weight, count
+
+
 def _weights(entries: Model, carry: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto = entries.automaton()
         for batch in batches:
-            folded = [fold(t) for t in batch.column("text").to_pylist()]
+            weight, count = _measured(auto, batch)
             yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in carry), pa.array([weigh(auto, w) for w in folded], pa.float64()),
-                    pa.array([len(w) for w in folded], pa.int64()),
-                ],
-                names=[*carry, "weight", "words"],
+                [*(batch.column(c) for c in carry), pa.array(weight), pa.array(count)], names=[*carry, "weight", "words"]
             )
 
     return run
@@ -223,8 +232,6 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto = model.automaton()
         for batch in batches:
-            folded = [fold(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-            value = model.score(np.array([weigh(auto, w) for w in folded]), np.array([len(w) for w in folded]))
-            yield batch.filter(pa.array(value < 0.5))
+            yield batch.filter(pa.array(model.score(*_measured(auto, batch)) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lapsekit.session import shared_folder
+from lapsekit.session import materialize, shared_folder
 
 CHUNK, LEVEL = 1 << 16, 3
 ROWS_PER_FILE = 4000
@@ -188,7 +188,9 @@ def write_monolithic(pages: DataFrame, folder: str, least: int = 0) -> None:
     # Payloads are told apart by SHA-256: SHA-1, which the header states, can be made to collide.
     base = base.withColumn("content", F.sha2("html", 256))
     groups = base.where(F.octet_length("html") >= least).groupBy("content").agg(F.count("*").alias("n"), F.max("page_id").alias("best"))
-    marked = base.join(groups.where("n > 1").select("content", "best"), "content", "left")
+    # Written first, so its size is known: a small table is broadcast and the pages are not shuffled, a large one is joined by shuffle.
+    repeated = materialize(groups.where("n > 1").select("content", "best"), "repeated")
+    marked = base.join(repeated, "content", "left")
     (
         marked.select("page_id", "url", "html", "best").mapInArrow(_texts, "value string").write
         .option("compression", "gzip").option("lineSep", "\r\n").option("maxRecordsPerFile", ROWS_PER_FILE).text(folder)

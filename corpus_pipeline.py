@@ -5,34 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapsekit.llm import decontamination, minhash, piecewise, pseudonyms, toxicity
+from lapsekit.llm.idfilter import without_ids
+from lapsekit.llm.registry import small_batches
 from lapsekit.session import materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go; the lexicon is learned from the labelled ones."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.without_toxic(docs, toxicity.fit(docs, labels))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays."""
+    small_batches(spark)
     classes = minhash.near_duplicates(docs)
-    gone = classes.where("doc_id is not null and not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(materialize(gone, "gone"), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    gone = classes.where("doc_id is not null and not kept").select(F.col("doc_id").alias("id")).distinct()
+    return without_ids(docs, materialize(gone, "gone"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
+    small_batches(spark)
     return decontamination.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts become pseudonyms."""
+    small_batches(spark)
     return pseudonyms.pseudonymised(docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The texts as sampled piece ids."""
+    small_batches(spark)
     return piecewise.encode(docs)
 
 

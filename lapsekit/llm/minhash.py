@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lapsekit.llm.components import components
+from lapsekit.llm.idfilter import only_ids
 from lapsekit.llm.texts import mix, pieces, shingle_sets
 from lapsekit.session import materialize
 
@@ -200,8 +201,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
     placed = placed.join(met, "id").withColumn("rank", F.struct("met", -F.col("id")))
     pivots = placed.groupBy("key").agg((-F.max("rank")["col2"]).alias("pivot"))
     members = materialize(placed.select("key", "id", "c").join(pivots, "key"), "members")
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = materialize(base.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(shingle), "id long, items array<long>"), "sets")
+    # Only the texts of bucket members are shuffled for their sets.
+    wanted = materialize(members.select("id").distinct(), "wanted")
+    sets = materialize(only_ids(base, wanted).mapInArrow(_sets(shingle), "id long, items array<long>"), "sets")
 
     stars = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     links = materialize(_confirmed(stars, sets, threshold), "links")

@@ -23,5 +23,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches hold this many rows: whole texts are long, and a task holds a few batches at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -215,3 +215,18 @@ def test_contamination_takes_awkward_rows(spark):
     assert decontamination.contaminated(docs(spark, []), bench).collect() == []
     left = decontamination.without_contaminated(frame, bench)
     assert left.columns == frame.columns and left.count() == len(awkward()) + 1
+
+
+def test_id_filter_is_exact(spark):
+    from lapsekit.llm.idfilter import bitmap, only_ids, rows_by_bitmap, without_ids
+
+    frame = docs(spark, [(i, "t") for i in range(-50, 300)] + [(None, "t"), (7, "u")])
+    ids = spark.createDataFrame([(i,) for i in range(-50, 300, 3)], "id long")
+    want = [tuple(r) for r in frame.collect()]
+    chosen = set(range(-50, 300, 3))
+    assert rows(only_ids(frame, ids).select(*frame.columns)) == sorted((r for r in want if r[0] in chosen), key=repr)
+    assert rows(without_ids(frame, ids)) == sorted((r for r in want if r[0] not in chosen), key=repr)
+    assert rows(without_ids(frame, ids.limit(0))) == sorted(want, key=repr)
+    crowded = bitmap(ids, 6)
+    inside, outside = (rows_by_bitmap(frame, crowded, side).count() for side in (True, False))
+    assert inside + outside == len(want) and inside >= len(chosen)

@@ -1,7 +1,9 @@
 """Near-duplicate embeddings found on a robust-pruned flat graph.
 
 Vectors are dealt to the ``OVERLAP`` nearest of some centres, so neighbouring shards
-overlap. In each shard every vector's nearest candidates are robust-pruned to a
+overlap. A shard over ``MOST`` vectors is dealt again to centres of its own, level by
+level, so centres grow with the table; one that its centres do not divide is compared
+block by block. In each shard every vector's nearest candidates are robust-pruned to a
 bounded list of neighbours; the lists of all shards are united into one graph. A
 search then starts at the shard's medoid, walks greedily towards each vector and,
 once it is near, widens its range: every place within the threshold is expanded until
@@ -20,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lapsekit.llm.components import components
+from lapsekit.llm.texts import mix
 from lapsekit.session import materialize
 
 SAMPLE, SHARD, MOST, CENTRES, OVERLAP = 8192, 600, 2000, 1024, 3
 CANDIDATES, DEGREE, ALPHA, BEAM, SLACK = 48, 16, 1.2, 16, 0.05
-AUDITED, WANTED, LANDMARKS, BLOCK = 512, 0.99, 48, 1024
+AUDITED, WANTED, BLOCK = 512, 0.99, 1024
+DRAWN, UNDIVIDED = 2048, 0.75
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -140,11 +144,77 @@ def _assigned(middle: np.ndarray, overlap: int):
         for batch in batches:
             for a in range(0, batch.num_rows, 2048):
                 part = batch.slice(a, 2048)
-                sims = _fit_width(_matrix(part.column("vector")), middle.shape[1]) @ middle.T
-                k = min(overlap, len(middle))
-                top = np.argpartition(-sims, k - 1, axis=1)[:, :k].astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, top.size + 1, k, dtype=np.int32)), pa.array(top.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("vector"), lists], names=["id", "vector", "shards"])
+                top, sims = _nearest(_fit_width(_matrix(part.column("vector")), middle.shape[1]), middle, overlap)
+                ids = np.repeat(part.column("id").to_numpy(), top.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(top.reshape(-1)), pa.array(sims.reshape(-1))], names=["id", "shard", "sim"])
+
+    return run
+
+
+def _nearest(x: np.ndarray, middle: np.ndarray, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centres of each row, and how near they are."""
+    sims = x @ middle.T
+    k = min(overlap, len(middle))
+    top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+    return top, np.take_along_axis(sims, top, axis=1)
+
+
+def _own_centres(overlap: int, shard: int):
+    def run(group: pa.Table) -> pa.Table:
+        """Centres of one shard, from a sample of it."""
+        group = group.sort_by("id")
+        x, size = _matrix(group["vector"]), group["size"][0].as_py()
+        k = int(min(max(4 * overlap, -(-size * overlap // shard)), max(2, len(x) // 4)))
+        middle = centres(x, k)
+        n, width = middle.shape
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, dtype=np.int32)), pa.array(middle.reshape(-1)))
+        return pa.table({"shard": pa.array(np.full(n, group["shard"][0].as_py())), "size": pa.array(np.full(n, size)), "place": pa.array(np.arange(n)), "middle": lists})
+
+    return run
+
+
+def _dealt_again(overlap: int):
+    def run(rows: pa.Table, middles: pa.Table) -> pa.Table:
+        """The nearest centres of a part of one shard among the shard's own."""
+        if not rows.num_rows or not middles.num_rows:
+            return pa.table({n: pa.array([], t) for n, t in (("id", pa.int64()), ("shard", pa.int64()), ("sim", pa.float64()), ("of", pa.int64()))})
+        middles = middles.sort_by("place")
+        flat = middles["middle"].combine_chunks()
+        flat = pa.concat_arrays(flat.chunks) if isinstance(flat, pa.ChunkedArray) else flat
+        middle = flat.flatten().to_numpy().reshape(middles.num_rows, -1)
+        top, sims = _nearest(_fit_width(_matrix(rows["vector"]), middle.shape[1]), middle, overlap)
+        old, k = np.uint64(rows["shard"][0].as_py() & (2**64 - 1)), top.shape[1]
+        new = mix(mix(np.array([old])) + top.reshape(-1).astype(np.uint64)).astype(np.int64)
+        return pa.table({
+            "id": pa.array(np.repeat(rows["id"].to_numpy(), k)), "shard": pa.array(new), "sim": pa.array(sims.reshape(-1)),
+            "of": pa.array(np.repeat(rows["size"].to_numpy(), k)),
+        })
+
+    return run
+
+
+def _whole(threshold: float):
+    def run(group: pa.Table) -> pa.Table:
+        """Links among all vectors of a group of a few blocks, thinned to a spanning forest."""
+        ids, x = group["id"].to_numpy(), _matrix(group["vector"])
+        width = np.diff(pa.concat_arrays(group["vector"].chunks).offsets.to_numpy())
+        n = len(ids)
+        link = np.empty((n, n), dtype=bool)
+        for a in range(0, n, BLOCK):
+            link[a : a + BLOCK] = (x[a : a + BLOCK] @ x.T >= threshold) & (width[a : a + BLOCK, None] == width)
+        np.fill_diagonal(link, False)
+        label, fresh = np.arange(n), np.ones(n, dtype=bool)
+        for start in np.flatnonzero(link.any(axis=1)):
+            if not fresh[start]:
+                continue
+            front = np.array([start])
+            fresh[start] = False
+            while len(front):
+                front = np.flatnonzero(link[front].any(axis=0) & fresh)
+                fresh[front] = False
+                label[front] = start
+        linked = np.flatnonzero(label != np.arange(n))
+        return pa.table({"a": pa.array(ids[linked]), "b": pa.array(ids[label[linked]])})
 
     return run
 
@@ -257,21 +327,45 @@ def recall(nodes: DataFrame, links: DataFrame, threshold: float, audited: int =
     return 1.0 if not row[0] else row[1] / row[0]
 
 
-def _links(nodes: DataFrame, count: int, middle: np.ndarray, overlap: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+def _placed(nodes: DataFrame, middle: np.ndarray, overlap: int, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
+    """``id, shard`` with all shards divided as far as their centres divide them, and links that hold the divided ones together."""
+    vectors = nodes.select("id", "vector")
+    placed = vectors.mapInArrow(_assigned(middle, overlap), "id long, shard long, sim double").withColumn("of", F.lit(1 << 62))
+    placed, bridges = materialize(placed, "placed"), []
+    while True:
+        sizes = placed.groupBy("shard").agg(F.count("*").alias("size"), F.max("of").alias("most")).where(F.col("size") > MOST)
+        split = materialize(sizes.where(F.col("size") <= UNDIVIDED * F.col("most")).select("shard", "size"), "oversize")
+        if split.isEmpty():
+            return placed.select("id", "shard"), bridges
+        over = materialize(placed.join(split, "shard").select("id", "shard", "size").join(vectors, "id"), "oversize")
+        drawn = over.where(F.pmod(F.xxhash64("id", "shard"), F.lit(1 << 20)) < F.lit(DRAWN) / F.col("size") * (1 << 20))
+        middles = materialize(drawn.groupBy("shard").applyInArrow(_own_centres(overlap, SHARD), "shard long, size long, place long, middle array<double>"), "middles")
+        bridges.append(drawn.select("id", "shard", "vector").groupBy("shard").applyInArrow(_whole(threshold), "a long, b long"))
+        # Parts by hash only share out the work of dealing; each part meets all centres of its shard.
+        parts = F.ceil(F.col("size") / MOST).cast("int")
+        rows = over.withColumn("part", F.pmod(F.xxhash64("id", F.lit(11)), parts).cast("int"))
+        middles = middles.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select("shard", "part", "place", "middle")
+        new = rows.groupBy("shard", "part").cogroup(middles.groupBy("shard", "part")).applyInArrow(_dealt_again(overlap), "id long, shard long, sim double, of long")
+        best = F.slice(F.sort_array(F.collect_list(F.struct("sim", "shard", "of")), asc=False), 1, overlap)
+        new = new.groupBy("id").agg(best.alias("best")).select("id", F.inline("best")).select("id", "shard", "sim", "of")
+        placed = materialize(placed.join(split.select("shard"), "shard", "left_anti").unionByName(new), "placed")
+
+
+def _links(nodes: DataFrame, middle: np.ndarray, overlap: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Components and numbers of links, from shards of the given overlap."""
-    placed = nodes.select("id", "vector").mapInArrow(_assigned(middle, overlap), "id long, vector array<double>, shards array<int>")
-    placed = placed.select("id", "vector", F.explode("shards").alias("shard"))
-    sizes = placed.groupBy("shard").agg(F.count("*").alias("size"))
-    # A shard over its size is split; some of its members stand in every part and hold the parts together.
-    draw = F.xxhash64("id", "shard")
-    parts = F.ceil(F.col("size") / MOST).cast("int")
-    common = (F.col("parts") > 1) & (F.pmod(F.xxhash64("id", F.lit(3)), F.col("size")) < LANDMARKS)
-    where = F.when(common, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(draw, "parts").cast("int")))
-    shards = placed.join(sizes, "shard").withColumn("parts", parts).select("shard", F.explode(where).alias("part"), "id", "vector")
-    shards = materialize(shards, "shards")
-    graph = shards.groupBy("shard", "part").applyInArrow(_build, "id long, near array<long>")
+    placed, bridges = _placed(nodes, middle, overlap, threshold)
+    sizes = placed.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), (F.count("*") > MOST).alias("tight"))
+    shards = materialize(placed.join(sizes, "shard").join(nodes.select("id", "vector"), "id"), "shards")
+    loose = shards.where("not tight").select("shard", "id", "vector")
+    graph = loose.groupBy("shard").applyInArrow(_build, "id long, near array<long>")
     graph = graph.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    edges = shards.join(graph, "id").groupBy("shard", "part").applyInArrow(_search(threshold), "a long, b long")
+    edges = loose.join(graph, "id").groupBy("shard").applyInArrow(_search(threshold), "a long, b long")
+    tight = shards.where("tight").withColumn("mine", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    tight = tight.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tight = tight.select("shard", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "id", "vector")
+    edges = edges.unionByName(tight.groupBy("shard", "i", "j").applyInArrow(_whole(threshold), "a long, b long"))
+    for more in bridges:
+        edges = edges.unionByName(more)
     found = materialize(components(materialize(edges.distinct(), "links")), "components")
     return found, materialize(_links_in_components(nodes, found, threshold), "degrees")
 
@@ -299,7 +393,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
         overlap = OVERLAP
         while True:
             k = int(min(CENTRES, max(1, -(-count * overlap // SHARD)), max(1, len(sample) // 4)))
-            found, links = _links(nodes, count, centres(sample, k) if len(sample) else np.ones((1, 1)), overlap, threshold)
+            found, links = _links(nodes, centres(sample, k) if len(sample) else np.ones((1, 1)), overlap, threshold)
             if recall(nodes, links, threshold) >= WANTED or overlap >= 4 * OVERLAP:
                 break
             overlap *= 2

@@ -184,6 +184,37 @@ def test_vectors_take_awkward_rows(spark):
     assert vectors.near_vectors(spark.createDataFrame([], VECTOR_SCHEMA)).collect() == []
 
 
+def isolated_pairs(rng, n, width=16):
+    """``n`` vectors and a near copy of each, most pairs far from all others."""
+    x = rng.standard_normal((n, width))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = x + 0.3 / width**0.5 * rng.standard_normal(x.shape)
+    return np.concatenate([x, y])
+
+
+def vector_frame(spark, x):
+    pairs = [(i, [float(np.float32(a)) for a in v]) for i, v in enumerate(x)]
+    return pairs, spark.createDataFrame([(i, v, 0) for i, v in pairs], VECTOR_SCHEMA)
+
+
+def test_oversize_shards_keep_isolated_pairs(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "MOST", 150)
+    monkeypatch.setattr(vectors, "SHARD", 60)
+    monkeypatch.setattr(vectors, "CENTRES", 2)
+    monkeypatch.setattr(vectors, "OVERLAP", 3)
+    pairs, frame = vector_frame(spark, isolated_pairs(np.random.default_rng(8), 500))
+    got, want = rows(vectors.near_vectors(frame)), brute_vectors(pairs)
+    assert sum(g[1] for g in got) >= 0.98 * sum(w[1] for w in want)
+
+
+def test_shards_that_no_centres_divide_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "MOST", 50)
+    monkeypatch.setattr(vectors, "BLOCK", 32)
+    monkeypatch.setattr(vectors, "UNDIVIDED", 0)
+    pairs, frame = vector_frame(spark, isolated_pairs(np.random.default_rng(9), 150))
+    assert rows(vectors.near_vectors(frame)) == brute_vectors(pairs)
+
+
 ITEM = "A train leaves Oldtown at 9 with 120 passengers and travels 300 km before Maria counts 45 empty seats in the last two cars"
 SHORT = "Which river crosses seven borders"
 

@@ -10,7 +10,8 @@ once it is near, widens its range: every place within the threshold is expanded
 none is left. Links that were found are verified in double precision and joined to
 components; inside a component all vectors are compared in blocks, which gives the exact number of
 links of each. A bounded sample of vectors is compared with all others to measure the
-recall; while it is too low the shards overlap more.
+recall, each vector counting once; while it is too low the shards overlap more, and in
+the end all vectors of different components are compared.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from lapsekit.session import materialize
 SAMPLE, SHARD, MOST, CENTRES, OVERLAP = 8192, 600, 2000, 1024, 3
 CANDIDATES, DEGREE, ALPHA, BEAM, SLACK = 48, 16, 1.2, 16, 0.05
 AUDITED, WANTED, BLOCK = 512, 0.99, 1024
-DRAWN, UNDIVIDED = 2048, 0.75
+DRAWN, UNDIVIDED, FEW, SLAB = 2048, 0.75, 8, 4096
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -307,7 +308,10 @@ def _links_in_components(nodes: DataFrame, found: DataFrame, threshold: float) -
 
 
 def recall(nodes: DataFrame, links: DataFrame, threshold: float, audited: int = AUDITED) -> float:
-    """Share of the links of a bounded sample of nodes that ``links`` holds, against a comparison with all nodes."""
+    """Share of its links that a node of a bounded sample has in ``links``, against a comparison with all nodes.
+
+    The mean over nodes, each with links counting once, or the mean over those with at most ``FEW`` links if that is lower.
+    """
     asked = nodes.orderBy(F.xxhash64("id", F.lit(9))).limit(audited).select("id", "vector").toArrow()
     if not asked.num_rows:
         return 1.0
@@ -323,8 +327,41 @@ def recall(nodes: DataFrame, links: DataFrame, threshold: float, audited: int =
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "links"])
 
     true = nodes.select("id", "n", "vector").mapInArrow(run, "id long, links long").groupBy("id").agg(F.sum("links").alias("true"))
-    row = true.join(links, "id", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("links", F.lit(0))))).first()
-    return 1.0 if not row[0] else row[1] / row[0]
+    share = F.least("true", F.coalesce("links", F.lit(0))) / F.col("true")
+    shares = true.where(F.col("true") > 0).join(links, "id", "left").select("true", share.alias("share"))
+    row = shares.agg(F.avg("share"), F.avg(F.when(F.col("true") <= FEW, F.col("share")))).first()
+    return min((v for v in row if v is not None), default=1.0)
+
+
+def _completed(nodes: DataFrame, count: int, found: DataFrame, threshold: float) -> DataFrame:
+    """``found`` after a comparison of every node with all nodes of other components, ``SLAB`` nodes at a time."""
+    slabs = -(-count // SLAB)
+    placed = nodes.select("id", "vector").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = materialize(placed.withColumn("slab", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(slabs))), "slabs")
+
+    def against(asked: pa.Table):
+        ids, x, width = asked["component"].to_numpy(), _matrix(asked["vector"]), np.diff(pa.concat_arrays(asked["vector"].chunks).offsets.to_numpy())
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, BLOCK):
+                    part = batch.slice(at, BLOCK)
+                    y, mine = _matrix(part.column("vector")), part.column("component").to_numpy()
+                    wide = max(x.shape[1], y.shape[1])
+                    same = width[:, None] == np.diff(part.column("vector").offsets.to_numpy())
+                    a, b = np.nonzero((_fit_width(x, wide) @ _fit_width(y, wide).T >= threshold) & same & (ids[:, None] != mine))
+                    pairs = np.unique(np.stack([ids[a], mine[b]], axis=1), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+        return run
+
+    edges = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    for slab in range(slabs):
+        asked = placed.where(F.col("slab") == slab).select("component", "vector").toArrow()
+        if asked.num_rows:
+            others = placed.where(F.col("slab") >= slab).select("component", "vector")
+            edges = edges.unionByName(materialize(others.mapInArrow(against(asked), "a long, b long").distinct(), "missed"))
+    return materialize(components(edges), "components")
 
 
 def _placed(nodes: DataFrame, middle: np.ndarray, overlap: int, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
@@ -394,7 +431,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
         while True:
             k = int(min(CENTRES, max(1, -(-count * overlap // SHARD)), max(1, len(sample) // 4)))
             found, links = _links(nodes, centres(sample, k) if len(sample) else np.ones((1, 1)), overlap, threshold)
-            if recall(nodes, links, threshold) >= WANTED or overlap >= 4 * OVERLAP:
+            if recall(nodes, links, threshold) >= WANTED:
+                break
+            if overlap >= 4 * OVERLAP:
+                found = _completed(nodes, count, found, threshold)
+                links = materialize(_links_in_components(nodes, found, threshold), "degrees")
                 break
             overlap *= 2
         keys = keys.join(found, "id", "left").join(links, "id", "left")

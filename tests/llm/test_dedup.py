@@ -215,6 +215,23 @@ def test_shards_that_no_centres_divide_are_compared_in_blocks(spark, monkeypatch
     assert rows(vectors.near_vectors(frame)) == brute_vectors(pairs)
 
 
+def test_recall_counts_each_vector_once(spark):
+    rows_ = [(i, 1, [1.0, 0.001 * i]) for i in range(300)] + [(1000 + i, 1, [-1.0, 0.0] if i < 2 else [0.0, -1.0]) for i in range(4)]
+    nodes = spark.createDataFrame(rows_, "id long, n long, vector array<double>")
+    links = spark.createDataFrame([(i, 299) for i in range(300)], "id long, links long")
+    assert vectors.recall(nodes, links, 0.9) == 0.0
+    whole = links.unionByName(spark.createDataFrame([(1000 + i, 1) for i in range(4)], "id long, links long"))
+    assert vectors.recall(nodes, whole, 0.9) == 1.0
+
+
+def test_missed_links_are_completed(spark, monkeypatch):
+    pairs, frame = vector_frame(spark, isolated_pairs(np.random.default_rng(10), 80))
+    none = lambda *_: (spark.createDataFrame([], "id long, component long"), spark.createDataFrame([], "id long, links long"))
+    monkeypatch.setattr(vectors, "_links", none)
+    monkeypatch.setattr(vectors, "SLAB", 50)
+    assert rows(vectors.near_vectors(frame)) == brute_vectors(pairs)
+
+
 ITEM = "A train leaves Oldtown at 9 with 120 passengers and travels 300 km before Maria counts 45 empty seats in the last two cars"
 SHORT = "Which river crosses seven borders"
 

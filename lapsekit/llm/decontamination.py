@@ -4,9 +4,10 @@ Texts become typed tokens: a number is ``NUM``, a unit after a number ``UNIT``,
 capitalised word inside a sentence ``NAME``, anything else the lower-case word;
 signs are dropped. Windows of ``WINDOW`` tokens are hashed in two readings, with
 and without ``NAME``, and hash-joined with the windows of the benchmark. A match
-counts if its slots are consistent: along one alignment of document and item, a
-slot value of the item always meets the same value in the document and the other
-way round. So copies are found, and also questions whose numbers, units or names
+counts if its slots are consistent: along the windows of one alignment whose slots
+differ, a slot value of the item always meets the same value in the document and the
+other way round. Windows with equal slots need no such proof; beside inconsistent
+ones it takes ``VERBATIM`` of them. So copies are found, and also questions whose numbers, units or names
 were exchanged throughout.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from lapsekit.llm.texts import flat, mix, pieces, span_hashes
 from lapsekit.session import materialize
 
-WINDOW, SHORTEST, BITS = 10, 4, 24
+WINDOW, SHORTEST, BITS, VERBATIM = 10, 4, 24, 2
 
 # Units of measure that may follow a number.
 UNITS = [
@@ -190,15 +191,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bi
     a = found.select(F.col("id").alias("doc_id"), "h", F.col("place").alias("at"), F.col("slots").alias("x")).distinct()
     b = items.select(F.col("id").alias("item_id"), "h", F.col("place").alias("of"), F.col("slots").alias("y"))
     matched = a.join(b, "h").where(F.size("x") == F.size("y"))
-    pairs = F.arrays_zip(F.col("y").alias("y"), F.col("x").alias("x"))
+    differs = F.col("x") != F.col("y")
+    pairs = F.when(differs, F.arrays_zip(F.col("y").alias("y"), F.col("x").alias("x")))
     along = matched.groupBy("doc_id", "item_id", (F.col("at") - F.col("of")).alias("shift")).agg(
-        F.count_distinct("of").alias("n"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots")
+        F.count_distinct("of").alias("n"), F.count_distinct(F.when(~differs, F.col("of"))).alias("equal"),
+        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"),
     )
     left, right = F.array_distinct(F.col("slots.y")), F.array_distinct(F.col("slots.x"))
     consistent = (F.size(left) == F.size("slots")) & (F.size(right) == F.size("slots"))
-    changed = F.exists("slots", lambda s: s["x"] != s["y"])
+    along = along.withColumn("whole", consistent).withColumn("n", F.when(F.col("whole"), F.col("n")).otherwise(F.col("equal")))
+    changed = F.col("whole") & (F.size("slots") > 0)
     total = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("place").alias("total"))
-    per_item = along.where(consistent).withColumn("changed", changed).groupBy("doc_id", "item_id").agg(
+    per_item = along.where(F.col("whole") | (F.col("equal") >= VERBATIM)).withColumn("changed", changed).groupBy("doc_id", "item_id").agg(
         F.max("n").alias("n_windows"), F.min("changed").alias("reparameterised")
     )
     return per_item.join(total, "item_id").select(

@@ -254,6 +254,15 @@ def test_contamination_finds_copies_and_exchanged_slots(spark):
     assert got[0, 1].coverage == 1.0 and not got[0, 1].reparameterised and got[2, 1].reparameterised
 
 
+def test_one_changed_value_does_not_hide_a_copy(spark):
+    rng = random.Random(6)
+    item = f"{prose(rng, 20)} 5 {prose(rng, 60)} 5 cats {prose(rng, 3)} 5 {prose(rng, 20)}"
+    at = item.rindex(" 5 ")
+    got = contaminated(spark, [f"{prose(rng, 9)} {item[:at]} 6 {item[at + 3:]}", prose(rng, 100)], [(1, item)])
+    # 5 and 6 stand for 5 in the same windows; those without the 6 are copies.
+    assert set(got) == {(0, 1)} and got[0, 1].n_windows == len(item.split()) - 9 - 10 and not got[0, 1].reparameterised
+
+
 def test_contamination_takes_awkward_rows(spark):
     bench = spark.createDataFrame([(1, None), (2, ""), (None, ITEM), (3, "one two"), (4, ITEM), (4, ITEM)], "item_id long, text string")
     frame = clashing(docs(spark, awkward() + [(40, ITEM), (None, ITEM), (40, ITEM)]))

@@ -3,7 +3,8 @@
 Texts become typed tokens: a number is ``NUM``, a unit after a number ``UNIT``, a
 capitalised word inside a sentence ``NAME``, anything else the lower-case word;
 signs are dropped. Windows of ``WINDOW`` tokens are hashed in two readings, with
-and without ``NAME``, and hash-joined with the windows of the benchmark. A match
+and without ``NAME``; windows of more than 40 % placeholders without ``NAME`` are hashed
+word for word instead. They are hash-joined with the windows of the benchmark. A match
 counts if its slots are consistent: along the windows of one alignment whose slots
 differ, a slot value of the item always meets the same value in the document and the
 other way round. Windows with equal slots need no such proof; beside inconsistent
@@ -92,38 +93,43 @@ class Tokens:
         self.count = np.bincount(self.row, minlength=self.rows)
         self.begin = np.cumsum(self.count) - self.count
 
-    def windows(self, size: int, named: bool) -> tuple[np.ndarray, np.ndarray]:
-        """First token and hash of each window of ``size`` tokens with enough words that are no placeholders."""
+    def windows(self, size: int, reading: str) -> tuple[np.ndarray, np.ndarray]:
+        """First token and hash of each window of ``size`` tokens; those with too few words besides placeholders only in the literal reading."""
         at = np.flatnonzero(np.arange(len(self.row)) - self.begin[self.row] + size <= self.count[self.row])
         if not len(at):
             return at, np.zeros(0, np.uint64)
-        tokens, slots = (self.named, self.named_slot) if named else (self.plain, self.slot)
+        tokens = {"plain": self.plain, "named": self.named, "literal": self.value}[reading]
+        slots = self.named_slot if reading == "named" else self.slot
         held = np.concatenate(([0], np.cumsum(slots > 0)))
         used = held[at + size] - held[at]
-        at = at[(used <= size * 2 // 5) & ((used > 0) | (not named))]
-        value = np.full(len(at), size, dtype=np.uint64)
+        crowded = used > size * 2 // 5
+        at = at[crowded if reading == "literal" else ~crowded & ((used > 0) | (reading == "plain"))]
+        value = np.full(len(at), size + 1000 * (reading == "literal"), dtype=np.uint64)
         with np.errstate(over="ignore"):
             for i in range(size):
                 value = value * np.uint64(0x9E3779B97F4A7C15) + tokens[at + i]
                 value ^= value >> np.uint64(29)
         return at, mix(value)
 
-    def slots(self, at: np.ndarray, size: int, named: bool) -> list[list[int]]:
-        kinds = self.named_slot if named else self.slot
+    def slots(self, at: np.ndarray, size: int, reading: str) -> list[list[int]]:
+        if reading == "literal":
+            return [[]] * len(at)
+        kinds = self.named_slot if reading == "named" else self.slot
         signed = self.value.astype(np.int64)
         return [[int(signed[i]) for i in range(a, a + size) if kinds[i]] for a in at]
 
 
 SCHEMA = "id long, h long, place int, size int, slots array<long>"
+READINGS = ("plain", "named", "literal")
 _NAMES = ["id", "h", "place", "size", "slots"]
 
 
-def _emit(ids: pa.Array, tokens: Tokens, at: np.ndarray, value: np.ndarray, size: int, named: bool) -> pa.RecordBatch:
+def _emit(ids: pa.Array, tokens: Tokens, at: np.ndarray, value: np.ndarray, size: int, reading: str) -> pa.RecordBatch:
     rows = tokens.row[at]
     return pa.RecordBatch.from_arrays(
         [
             ids.take(pa.array(rows)), pa.array(value.astype(np.int64)), pa.array((at - tokens.begin[rows]).astype(np.int32)),
-            pa.array(np.full(len(at), size, np.int32)), pa.array(tokens.slots(at, size, named), pa.list_(pa.int64())),
+            pa.array(np.full(len(at), size, np.int32)), pa.array(tokens.slots(at, size, reading), pa.list_(pa.int64())),
         ],
         names=_NAMES,
     )
@@ -135,10 +141,10 @@ def _item_windows(size: int):
             for part in pieces(batch, "text"):
                 tokens = Tokens(part.column("text"))
                 for width in range(SHORTEST, size + 1):
-                    for named in (False, True):
-                        at, value = tokens.windows(width, named)
+                    for reading in READINGS:
+                        at, value = tokens.windows(width, reading)
                         right = (tokens.count[tokens.row[at]] == width) | (width == size)
-                        yield _emit(part.column("id"), tokens, at[right], value[right], width, named)
+                        yield _emit(part.column("id"), tokens, at[right], value[right], width, reading)
 
     return run
 
@@ -151,12 +157,12 @@ def _document_windows(sizes: list[int], bitmap: np.ndarray):
             for part in pieces(batch, "text"):
                 tokens = Tokens(part.column("text"))
                 for size in sizes:
-                    for named in (False, True):
-                        at, value = tokens.windows(size, named)
+                    for reading in READINGS:
+                        at, value = tokens.windows(size, reading)
                         bit = value & mask
                         hit = (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
                         if hit.any():
-                            yield _emit(part.column("id"), tokens, at[hit], value[hit], size, named)
+                            yield _emit(part.column("id"), tokens, at[hit], value[hit], size, reading)
 
     return run
 

@@ -263,6 +263,15 @@ def test_one_changed_value_does_not_hide_a_copy(spark):
     assert set(got) == {(0, 1)} and got[0, 1].n_windows == len(item.split()) - 9 - 10 and not got[0, 1].reparameterised
 
 
+def test_items_dense_in_numbers_are_found(spark):
+    rng = random.Random(7)
+    sums, row, short = "What is 12 + 7 - 3 * 45 + 9 - 81 + 4 * 6 - 2", "What follows 2 3 5 7 11 13", "Add 3 kg 4 kg"
+    other = sums.replace("45", "46").replace("12", "13").replace("9", "8").replace("4 *", "5 *").replace("- 2", "- 3")
+    texts = [f"{prose(rng, 20)}. {t} {prose(rng, 20)}" for t in (sums, row, short, other)]
+    got = contaminated(spark, texts, [(1, sums), (2, row), (3, short)])
+    assert set(got) == {(0, 1), (1, 2), (2, 3)} and all(r.coverage == 1.0 and not r.reparameterised for r in got.values())
+
+
 def test_contamination_takes_awkward_rows(spark):
     bench = spark.createDataFrame([(1, None), (2, ""), (None, ITEM), (3, "one two"), (4, ITEM), (4, ITEM)], "item_id long, text string")
     frame = clashing(docs(spark, awkward() + [(40, ITEM), (None, ITEM), (40, ITEM)]))

@@ -194,8 +194,8 @@ def _secret(text: str, key: str, decrypt: bool) -> str:
     return head + _permute_over(body, alphabet, key, f"secret{len(alphabet)}", decrypt)
 
 
-# Checked in this order at each place; the first kind whose check holds wins.
-PATTERN = re.compile(
+# Tried in this order at each place; of each kind the ends of _ends; the first one whose check holds wins.
+_KINDS = (
     r"(?P<email>(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@(?:[A-Za-z0-9\-]{1,63}\.){1,4}[A-Za-z]{2,24})"
     r"|(?P<secret>(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,48}"
     r"|(?i:password|passwd|pwd|secret|token|api_?key) ?[=:] ?[\"']?[A-Za-z0-9_\-+/.!#%*?&^~]{8,128}))"
@@ -207,6 +207,47 @@ PATTERN = re.compile(
     r"|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
     r"|(?P<card>(?<![\w.\-])\d(?:[ \-]?\d){12,18}(?![\w]|[.\-]\d))"
 )
+PATTERN = re.compile(_KINDS)
+_SINGLE = {m: re.compile(p) for m, p in ((p[4 : p.index(">")], p) for p in re.split(r"\|(?=\(\?P<(?:" + "|".join(KINDS) + ")>)", _KINDS))}
+_QUAD = re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)")
+_BRACKETED = re.compile(r"\+\d{1,3}[ .\-]?\(\d{3}\)[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)")
+_IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FR": 27, "GB": 22,
+    "GI": 23, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18,
+    "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TR": 26,
+}
+
+
+def _phone_end(line: str, start: int, end: int) -> int:
+    """Where a phone with a country code ends: after 3 and 4 digits behind a bracketed area of three, else by separators and 15 digits."""
+    if m := _BRACKETED.match(line, start, end):
+        return m.end()
+    head = re.compile(r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?").match(line, start)
+    best, digits, mark, last = end, 0, "", start
+    for i, run in enumerate(re.finditer(r"\d+", line[:end][start:])):
+        a, b = start + run.start(), start + run.end()
+        sign = line[last:a] if a > head.end() else ""
+        digits += b - a
+        # A space after a dot or dash, a dot after anything else, more digits than a number has, or an address begin another value.
+        if i and (digits > 15 or (sign == " " and mark in ("-", ".")) or (sign == "." and mark not in ("", ".")) or _QUAD.match(line, a)):
+            best = last
+            break
+        mark, last = sign or mark, b
+    return best
+
+
+def _ends(kind: str, line: str, start: int, end: int) -> list[int]:
+    """Ends to try for a value found: an IBAN of its country's length first, then shorter ones."""
+    if kind == "phone" and line[start] == "+":
+        short = _phone_end(line, start, end)
+        return [short] if _SINGLE["phone"].fullmatch(line[start:short]) else []
+    if kind == "iban":
+        ends = [e for e in range(end, start + 14, -1) if line[e - 1] != " " and (e == len(line) or not line[e].isalnum())]
+        want = _IBAN_LENGTHS.get(line[start : start + 2])
+        return sorted(ends, key=lambda e: len(line[start:e].replace(" ", "")) != want)
+    return [end]
+
+
 _CHANGES: dict[str, Callable[[str, str, bool], str | None]] = {
     "email": _email, "ip": _ip, "card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "date": _date, "secret": _secret,
 }
@@ -226,21 +267,45 @@ def replace(text: str, key: str, decrypt: bool = False, memory: dict | None = No
     memory = {} if memory is None else memory
     begin = 0
 
-    def change(m: re.Match) -> str:
-        kind, value = m.lastgroup, m.group()
-        new = memory.get((kind, value))
-        if new is None:
-            new = _CHANGES[kind](value, key, decrypt) or value
-            if len(memory) < 100_000:
-                memory[kind, value] = new
-        if new != value:
-            found.append((begin + m.start(), kind))
+    def change(kind: str, value: str) -> str | None:
+        if (kind, value) in memory:
+            return memory[kind, value]
+        new = _CHANGES[kind](value, key, decrypt)
+        if len(memory) < 100_000:
+            memory[kind, value] = new
         return new
 
+    def first(line: str, start: int, kinds: list[str]) -> tuple[str, int, str, bool] | None:
+        """Kind, end and pseudonym of the first value whose check holds at a place, and whether others failed before it."""
+        tried = 0
+        for kind in kinds:
+            if one := _SINGLE[kind].match(line, start):
+                for end in _ends(kind, line, start, one.end()):
+                    if (new := change(kind, line[start:end])) is not None:
+                        return kind, end, new, tried > 0
+                    tried += 1
+        return None
+
+    def changed(line: str) -> str:
+        out, done, at, kinds = [], 0, 0, list(_SINGLE)
+        while m := PATTERN.search(line, at):
+            start, at = m.start(), m.start() + 1
+            if not (best := first(line, start, kinds[kinds.index(m.lastgroup) :])):
+                continue
+            kind, end, new, late = best
+            # The pseudonym has to be found as the same kind at the same end, or it could not be undone: permute on until it is.
+            while late and ((again := first(line[:start] + new + line[end:], start, kinds)) is None or again[:2] != (kind, end)):
+                new = change(kind, new)
+            if new != line[start:end]:
+                found.append((begin + start, kind))
+            out += [line[done:start], new]
+            done = at = end
+        return "".join(out) + line[done:]
+
     lines = text.split("\n")  # no value crosses lines, and most lines hold nothing worth a closer look
     for i, line in enumerate(lines):
         if _worth(line):
-            lines[i] = PATTERN.sub(change, line)
+            lines[i] = changed(line)
         begin += len(line) + 1
     return "\n".join(lines), found
 

@@ -128,6 +128,22 @@ def test_pseudonyms_keep_the_format_and_come_back(value):
     assert shape(new) == shape(text)
 
 
+@pytest.mark.parametrize("first, second", [
+    ("+1 (826) 555-4081", "190.137.223.2"), ("+1 (843) 555-7672", "170.106.47.21"), ("+1 (826) 555-4081", "2024"), ("+1 826-555-4081", "2024"),
+    ("+44 20 7946 0958", "10.20.30.40"), ("DE89370400440532013000", "ABCD"), ("ES9121000418450200051332", "ABCD"), ("GB82 WEST 1234 5698 7654 32", "2024"), ("DE89370400440532013000", "123-45-6789"),
+])
+def test_values_end_where_the_next_begins(first, second):
+    alone, text = [pseudonyms.replace(v, "k")[0] for v in (first, second)], f"{first} {second}"
+    assert pseudonyms.replace(text, "k")[0] == " ".join(alone) and alone[0] != first
+    assert pseudonyms.replace(" ".join(alone), "k", decrypt=True)[0] == text
+
+
+def test_another_kind_is_tried_when_a_check_fails():
+    text = "666 12 3456 7890 1234"
+    new, found = pseudonyms.replace(text, "k")
+    assert [k for _, k in found] == ["card"] and pseudonyms.replace(new, "k", decrypt=True)[0] == text
+
+
 def test_feistel_is_a_permutation():
     for size in (1, 2, 10, 97, 1000):
         f = pseudonyms.Feistel("k", "t", size)

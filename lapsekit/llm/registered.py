@@ -7,7 +7,8 @@ from importlib import import_module
 from lapsekit.llm.registry import ORACLES, QUERIES
 
 MODULES = [
-    "conversation_queries", "dedup_queries", "page_queries", "rewriting_queries", "scoring_queries", "pipeline_queries",
+    "conversation_queries", "dedup_queries", "mining_queries", "page_queries",
+    "rewriting_queries", "scoring_queries", "pipeline_queries",
 ]
 
 for _name in MODULES:

@@ -1,11 +1,14 @@
 """Files, queries, runs and streams."""
 
+import random
+
 import pytest
 
 from lapsekit.operators.sampling import sample_fraction
 from lapsekit.plans.runner import RunError, run_datasets
 from lapsekit.session import shared_folder
 from lapsekit.sources.files import newest_path, read_csv, read_table, read_typed_or_raw, write_table
+from lapsekit.sources.quoted import ends_quoted, read_quoted_csv
 from lapsekit.sources.sql import bind, jdbc_options
 from lapsekit.streaming.rowlocal import clean_stream, write_stream
 
@@ -22,6 +25,55 @@ def test_csv_text_is_kept(spark, tmp_path):
     assert got == [("014", 'say "hi"'), (None, "two\nlines"), ("7", None), (None, "x")]
 
 
+@pytest.fixture
+def tiny_ranges(spark):
+    """Files are cut every 700 bytes."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def quoted_field(rng):
+    kind, text = rng.random(), "".join(rng.choice('abc ,\n"é\t;') for _ in range(rng.randrange(30)))
+    if kind < 0.4:
+        return '"' + text.replace('"', '""') + '"'
+    if kind < 0.5:
+        return '"' + "x\n" * rng.randrange(700) + '"'
+    return "".join(rng.choice('ab" c') for _ in range(rng.randrange(1, 6))).lstrip('"') or "z"
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_byte_ranges_read_like_one_task(spark, tmp_path, tiny_ranges, seed):
+    rng = random.Random(seed)
+    for name in ("a.csv", "b.csv"):
+        with open(tmp_path / name, "w", newline="") as file:
+            file.write("\ufeffn,x,y\n" if seed == 2 else "n,x,y\n")
+            for i in range(400):
+                file.write(",".join([str(i), quoted_field(rng), quoted_field(rng)]) + rng.choice(["\n", "\n\n"]))
+    whole = spark.read.option("quote", '"').option("escape", '"').option("multiLine", True).option("header", True)
+    want = sorted(map(tuple, whole.option("lineSep", "\n").csv(str(tmp_path)).collect()), key=repr)
+    found = read_quoted_csv(spark, str(tmp_path), ["n", "x", "y"])
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() >= 16
+    assert sorted(map(tuple, found.collect()), key=repr) == want
+
+
+def test_carriage_returns_short_rows_and_empty_files(spark, tmp_path, tiny_ranges):
+    (tmp_path / "a.csv").write_bytes(b'a,b\r\n1,"x\ny"\r\n\r\n2\r\n3,z,more\r\n')
+    (tmp_path / "b.csv").write_bytes(b"")
+    (tmp_path / "c.csv").write_bytes(b"a,b\r\n")
+    got = sorted(map(tuple, read_quoted_csv(spark, str(tmp_path), ["a", "b"]).collect()))
+    assert got == [("1", "x\ny"), ("2", None), ("3", "z")]
+
+
+def test_a_quote_opens_a_field_only_at_its_start():
+    assert not ends_quoted('5" pipe,a"b', False, ",")
+    assert ends_quoted('x,"a""', False, ",") and not ends_quoted('x,"a"""', False, ",")
+    assert not ends_quoted('a",b', True, ",") and ends_quoted('a","b', True, ",")
+
+
 def test_newest_is_the_last_name(spark, folder):
     for name in ("t_2024.parquet", "t_2025.parquet", "t_2023.parquet"):
         write_table(spark.createDataFrame([(name,)], "n string"), f"{folder}/{name}")

@@ -67,6 +67,20 @@ def csv_roundtrip(spark, d):
     return read_table(spark, place)
 
 
+@query(
+    "csv_parallel_quoted",
+    """SELECT CAST(doc_id AS STRING) AS doc_id,
+              CASE WHEN text <> '' THEN replace(replace(text, '. ', '.' || chr(10)), ' e', ' "e') END AS text, lang
+       FROM documents""",
+)
+def csv_parallel_quoted(spark, d):
+    """Texts with line breaks and quotes inside quotes, read by one task per byte range."""
+    broken = F.replace(F.replace("text", F.lit(". "), F.lit(".\n")), F.lit(" e"), F.lit(' "e'))
+    place = shared_folder(spark, "quoted") + ".csv"
+    write_table(table(spark, d, "documents").select("doc_id", broken.alias("text"), "lang"), place)
+    return read_table(spark, place)
+
+
 @query(
     "tsv_headerless",
     """SELECT CAST(c_custkey AS STRING) AS code, c_name AS place, c_mktsegment AS region,

@@ -119,7 +119,7 @@ class FillAndScale(Estimator):
     def _refuse_wide(self, sizes: Mapping[str, int]) -> None:
         wide = sorted(c for c, n in sizes.items() if n > self.max_categories)
         if wide:
-            raise ValueError(f"more than {self.max_categories} categories in {wide}; leave these columns out or raise max_categories")
+            raise ValueError(f"more than {self.max_categories} categories in {wide}; leave these columns out, hash them or raise max_categories")
 
     def _fit(self, dataset: DataFrame) -> SQLTransformer:
         parts = []
@@ -152,13 +152,18 @@ class FillAndScale(Estimator):
 
 
 def preprocessor(
-    numeric: Sequence[str], categorical: Sequence[str], output: str = "features", max_categories: int = MAX_DUMMIES
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    output: str = "features",
+    max_categories: int = MAX_DUMMIES,
+    vectors: Sequence[str] = (),
 ) -> Pipeline:
     """Impute and scale numbers, impute and one-hot categories, assemble one vector.
 
     The categories of a column are fetched to the driver and each becomes a slot. A
     column with (by a sketch) more than ``max_categories``, such as a name or an id, is an error
-    before anything is fetched.
+    before anything is fetched; encode it with :func:`lapsekit.operators.hashing.hashed_vector` and name
+    the result in ``vectors``, which are assembled as they are.
 
     Categories unseen at fitting time are all zeros. Other columns are not used.
     """
@@ -180,7 +185,7 @@ def preprocessor(
             ),
         ]
         inputs += [f"hot__{c}" for c in categorical]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="error"))
+    stages.append(VectorAssembler(inputCols=[*inputs, *vectors], outputCol=output, handleInvalid="error"))
     return Pipeline(stages=stages)
 
 

@@ -113,7 +113,8 @@ def build_pipeline(
     """The unfitted pipeline and its numeric and categorical features.
 
     Features not listed in the configuration are taken from the frame's types.
-    ``max_categories`` bounds the categories of each text column.
+    ``max_categories`` bounds the categories of each text column; ``vector_features`` are vector
+    columns that enter the model as they are, such as hashed categories.
     """
     numeric = list(config.get("numeric_features") or [])
     categorical = list(config.get("categorical_features") or [])
@@ -123,7 +124,8 @@ def build_pipeline(
     model = config.get("model") or {}
     classifier = build_model(model.get("name", "logreg"), model.get("params"))
     most = {"max_categories": int(config["max_categories"])} if config.get("max_categories") else {}
-    return Pipeline(stages=[preprocessor(numeric, categorical, **most), classifier]), numeric, categorical
+    vectors = list(config.get("vector_features") or [])
+    return Pipeline(stages=[preprocessor(numeric, categorical, vectors=vectors, **most), classifier]), numeric, categorical
 
 
 def target_classes(df: DataFrame, target: str, most: int = MAX_CLASSES) -> list[Any]:
@@ -276,7 +278,7 @@ def fit(config: Mapping[str, Any], df: DataFrame) -> FittedBaseline:
         df, target, ids, float(config.get("test_size", 0.2)), int(config.get("random_state", 42)), "__test"
     )
     if config.get("target") and numeric + categorical:
-        parted = parted.select(*dict.fromkeys([*ids, target, *numeric, *categorical, "__test"]))
+        parted = parted.select(*dict.fromkeys([*ids, target, *numeric, *categorical, *(config.get("vector_features") or []), "__test"]))
     split = materialize(parted, "split")
     classes = target_classes(split, target)
     model = fit_pipeline(pipeline, split.filter(~F.col("__test")), target, classes)

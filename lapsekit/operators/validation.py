@@ -7,13 +7,13 @@ with one row per check: ``name``, ``check``, ``observed``, ``threshold``,
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lapsekit.functions.timing import any_moment, to_utc_naive
-from lapsekit.operators.columns import is_datetime, is_numeric, value_of
+from lapsekit.operators.columns import as_list, is_datetime, is_numeric, value_of
 from lapsekit.operators.profiling import logical_type
 
 # Tolerances used when nothing else is given (fixed values).
@@ -167,6 +167,55 @@ def novel_categories(df: DataFrame, suite: Mapping[str, Any]) -> DataFrame:
     )
 
 
+def _value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``name, value, n`` for every present value of the columns, as text."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in cols])
+    present = df.select(F.explode(pairs).alias("p")).where("p.value is not null")
+    return present.groupBy("p.name", "p.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def category_table(df: DataFrame, cols: str | Iterable[str]) -> DataFrame:
+    """``name, value``: a baseline of categories as a table, for lists too long for a suite."""
+    return _value_counts(df, as_list(cols)).select("name", "value")
+
+
+def novel_values(df: DataFrame, known: DataFrame, cols: str | Iterable[str]) -> DataFrame:
+    """``name, value, n``: values that are not in a baseline table, with their rows.
+
+    The values are counted first, so a frequent one crosses the shuffle once per task, and the
+    anti join meets each value once. Nulls are not values on either side.
+    """
+    baseline = known.where("value is not null").select("name", F.col("value").cast("string").alias("value"))
+    return _value_counts(df, as_list(cols)).join(baseline, ["name", "value"], "left_anti")
+
+
+def validate_long_categories(
+    df: DataFrame,
+    known: DataFrame,
+    cols: str | Iterable[str],
+    dataset: Mapping[str, Any] | None = None,
+    defaults: Mapping[str, Any] | None = None,
+) -> DataFrame:
+    """Findings like those of :func:`validate` for categories whose baseline is a table ``known(name, value)``.
+
+    ``observed`` is the share of all rows whose value the baseline does not have; 0 for an empty
+    table. A column without a baseline has only new values. Nothing is held by the driver.
+    """
+    names = as_list(cols)
+    limits = {c: resolve_threshold("new_cat_ratio", c, dataset, defaults) for c in names}
+    fresh = novel_values(df, known, names).groupBy("name").agg(F.sum("n").alias("fresh"))
+    listed = known.where("value is not null").groupBy("name").agg(F.count_distinct("value").alias("known"))
+    # One row per checked column.
+    frame = df.sparkSession.createDataFrame(list(limits.items()), "name string, threshold double")
+    total = df.agg(F.count(F.lit(1))).scalar()
+    observed = F.coalesce(F.try_divide(F.coalesce("fresh", F.lit(0)).cast("double"), total), F.lit(0.0))
+    joined = frame.join(fresh, "name", "left").join(listed, "name", "left").withColumn("observed", observed)
+    return joined.select(
+        "name", F.lit("categories").alias("check"), "observed", "threshold", (F.col("observed") <= F.col("threshold")).alias("passed"),
+        F.concat(F.coalesce("known", F.lit(0)).cast("string"), F.lit(" known")).alias("detail"),
+    )
+
+
 def failures(findings: DataFrame) -> DataFrame:
     return findings.filter(~F.col("passed"))
 
@@ -198,7 +247,8 @@ def validate_many(
 
     Each entry holds a frame as ``df`` (or whatever ``load`` understands), a
     ``suite`` and optionally ``thresholds``, ``columns``, ``strict_structure``,
-    ``enabled``. A table that cannot be loaded or has no suite gives one failed
+    ``enabled``, and for long category lists ``known``, a frame (name, value), with the columns
+    it is for in ``known_cols``. A table that cannot be loaded or has no suite gives one failed
     finding, so nothing is skipped silently.
     """
     parts: list[DataFrame] = []
@@ -215,6 +265,8 @@ def validate_many(
             continue
         try:
             checked = validate(df, spec["suite"], spec, defaults)
+            if spec.get("known") is not None:
+                checked = checked.unionByName(validate_long_categories(df, spec["known"], spec["known_cols"], spec, defaults))
             parts.append(checked.select(F.lit(name).alias("dataset"), "*"))
         except Exception as error:
             parts.append(_failure(spark, name, "run", str(error)))

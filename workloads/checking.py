@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lapsekit.operators import profiling as P, validation as V
+from lapsekit.operators import profiling as P, sketches as S, validation as V
 from lapsekit.session import shared_folder
 from workloads.registry import query, rounded, table
 from workloads.tables import DUCK_DIRTY, dirty_orders
@@ -42,9 +42,69 @@ def profile_categories(spark, d):
     )
 
 
-@query("profile_many")
+def _number_sql(t: str, c: str, kind: str) -> str:
+    return f"""SELECT '{t}' AS dataset, '{c}' AS name, '{kind}' AS dtype, count(*) AS row_count, count_if({c} IS NULL) / count(*)::DOUBLE AS null_rate,
+        round(quantile_cont({c}::DOUBLE, 0.01) - 0.1 * (quantile_cont({c}::DOUBLE, 0.99) - quantile_cont({c}::DOUBLE, 0.01)), 5) AS low,
+        round(quantile_cont({c}::DOUBLE, 0.99) + 0.1 * (quantile_cont({c}::DOUBLE, 0.99) - quantile_cont({c}::DOUBLE, 0.01)), 5) AS high,
+        NULL::VARCHAR AS categories FROM {t}"""
+
+
+def _text_sql(t: str, c: str) -> str:
+    return f"""SELECT '{t}', '{c}', 'string', count(*), count_if({c} IS NULL) / count(*)::DOUBLE, NULL::DOUBLE, NULL::DOUBLE,
+        CASE WHEN count(DISTINCT {c}) <= 50 THEN array_to_string(list_sort(list(DISTINCT {c})), '|') END FROM {t}"""
+
+
+_PROFILED = {
+    "customer": [("c_custkey", "integer"), ("c_name", ""), ("c_nationkey", "integer"), ("c_acctbal", "floating"), ("c_mktsegment", "")],
+    "supplier": [("s_suppkey", "integer"), ("s_name", ""), ("s_nationkey", "integer"), ("s_acctbal", "floating")],
+}
+
+
+@query("profile_many", " UNION ALL ".join(_number_sql(t, c, k) if k else _text_sql(t, c) for t, cs in _PROFILED.items() for c, k in cs))
 def profile_several(spark, d):
-    return P.profile_many({"customer": table(spark, d, "customer"), "supplier": table(spark, d, "supplier")})
+    tables = {t: table(spark, d, t).select(*[c for c, _ in cs]) for t, cs in _PROFILED.items()}
+    found = rounded(P.profile_many(tables), ["low", "high"], 5).withColumn("categories", F.array_join("categories", "|"))
+    return found.select("dataset", "name", "dtype", "row_count", "null_rate", "low", "high", "categories")
+
+
+_MERGED = {
+    "l_quantity": "floating", "l_extendedprice": "floating", "l_partkey": "integer", "l_returnflag": "string",
+    "l_linestatus": "string", "l_shipdate": "",
+}
+
+
+@query(
+    "profile_merged",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS name, count(*) AS row_count, count_if({c} IS NULL) / count(*)::DOUBLE AS null_rate,
+            {f"min({c})::DOUBLE" if k in ("floating", "integer") else "NULL::DOUBLE"} AS lowest,
+            {f"max({c})::DOUBLE" if k in ("floating", "integer") else "NULL::DOUBLE"} AS highest,
+            {f"array_to_string(list_sort(list(DISTINCT {c})), '|')" if k == "string" else "NULL::VARCHAR"} AS categories,
+            {f"min({c})::TIMESTAMP" if not k else "NULL::TIMESTAMP"} AS earliest, {f"max({c})::TIMESTAMP" if not k else "NULL::TIMESTAMP"} AS latest,
+            true AS quantiles_within, true AS distinct_within FROM lineitem"""
+        for c, k in _MERGED.items()
+    ),
+)
+def profile_merged(spark, d):
+    """Two halves profiled apart, stored, merged and held against the whole table: counts, lists and extremes are equal,
+    quantiles within twice the stated rank error, numbers of values within a twentieth."""
+    lines = table(spark, d, "lineitem").select(*_MERGED)
+    halves = []
+    for side in (0, 1):
+        place = shared_folder(spark, "profile") + ".parquet"
+        S.sketch_profile(lines.where(F.pmod(F.xxhash64("l_partkey", "l_quantity"), F.lit(2)) == side)).write.parquet(place)
+        halves.append(spark.read.parquet(place))
+    merged = S.merge_profiles(*halves)
+    errors = S.quantile_rank_errors(lines, merged, [0.01, 0.25, 0.5, 0.75, 0.99]).groupBy("name").agg(F.max("error").alias("error"))
+    exact = lines.agg(*[F.count_distinct(c).alias(c) for c in _MERGED])
+    exact = exact.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("values_exact")) for c in _MERGED])).alias("e")).select("e.*")
+    profiled = S.profile_from_sketches(merged).join(merged.select("name", "lowest", "highest"), "name")
+    joined = profiled.join(errors, "name", "left").join(exact, "name")
+    return joined.select(
+        "name", "row_count", "null_rate", "lowest", "highest", F.array_join("categories", "|").alias("categories"), "earliest", "latest",
+        F.coalesce(F.col("error") <= 2 * S.RANK_ERROR, F.lit(True)).alias("quantiles_within"),
+        (F.abs(F.col("n_values") - F.col("values_exact")) <= 0.05 * F.col("values_exact")).alias("distinct_within"),
+    )
 
 
 @query("suite_roundtrip")
@@ -168,6 +228,31 @@ def novel_categories(spark, d):
     return V.novel_categories(_drifted(spark, d), SUITE)
 
 
+_LONG = {"line": "l_orderkey || '-' || l_linenumber", "price": "CAST(floor(l_extendedprice) AS BIGINT)::VARCHAR", "flag": "l_returnflag"}
+
+
+@query(
+    "validate_categories_long",
+    f"""WITH t AS (SELECT {", ".join(f"{v} AS {c}" for c, v in _LONG.items())}, l_partkey FROM lineitem)
+        """
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS name, 'categories' AS check, round(count_if({c} IS NOT NULL AND {c} NOT IN
+                (SELECT {c} FROM t WHERE l_partkey % 10 <> 0 AND {c} IS NOT NULL)) / count(*)::DOUBLE, 9) AS observed, 0.02::DOUBLE AS threshold,
+            count_if({c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM t WHERE l_partkey % 10 <> 0 AND {c} IS NOT NULL)) / count(*)::DOUBLE <= 0.02 AS passed,
+            (SELECT count(DISTINCT {c}) FROM t WHERE l_partkey % 10 <> 0)::VARCHAR || ' known' AS detail FROM t"""
+        for c in _LONG
+    ),
+)
+def validate_categories_long(spark, d):
+    """Baselines as long as the table: every line, price and flag of nine parts in ten, against all lines."""
+    lines = table(spark, d, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"), F.floor("l_extendedprice").cast("long").cast("string").alias("price"),
+        F.col("l_returnflag").alias("flag"), "l_partkey",
+    )
+    known = V.category_table(lines.where("l_partkey % 10 <> 0"), list(_LONG))
+    return rounded(V.validate_long_categories(lines, known, list(_LONG)), ["observed"], 9)
+
+
 @query(
     "validate_many",
     f"""SELECT 'drifted' AS dataset, name, "check", passed FROM ({" UNION ALL ".join(_check_sql(c) for c in _CHECKS)})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from lapsekit.operators import features as X
+from lapsekit.operators import features as X, hashing as H
 from workloads.registry import query, rounded, table
 from workloads.tables import DUCK_DIRTY, dirty_orders
 
@@ -135,3 +135,50 @@ def dated_feature_matrix(spark, d):
     return vectors.select(
         "l_orderkey", "l_linenumber", "l_partkey", *_slots(vectors, "features", ["quantity", "a", "n", "r", "lag"])
     )
+
+
+_HASHED = "SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber, l_orderkey || '-' || l_linenumber AS line, l_partkey::VARCHAR AS part, l_returnflag AS flag FROM lineitem"
+
+
+def _vocabulary_sql(c: str) -> str:
+    digest = f"md5('{c}=' || {c})"
+    return f"""SELECT '{c}' AS name, {c} AS value, count(*) AS n, CAST(('0x' || substr({digest}, 1, 8))::BIGINT % 1024 AS INTEGER) AS slot,
+        CASE WHEN ('0x' || substr({digest}, 9, 1))::BIGINT % 2 = 0 THEN 1 ELSE -1 END AS sign FROM h WHERE l_orderkey % 5 <> 0 AND {c} IS NOT NULL GROUP BY {c}"""
+
+
+_VOCABULARY = f"WITH h AS MATERIALIZED ({_HASHED}), v AS ({' UNION ALL '.join(_vocabulary_sql(c) for c in ('line', 'part', 'flag'))})"
+
+
+def _hashed_lines(spark, d):
+    return table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"),
+        F.col("l_partkey").cast("string").alias("part"), F.col("l_returnflag").alias("flag"),
+    )
+
+
+@query(
+    "one_hot_hashed",
+    f"""{_VOCABULARY}, e AS (
+            {" UNION ALL ".join(f"SELECT rid, slot, sign FROM h JOIN v ON name = '{c}' AND value = {c}" for c in ("line", "part", "flag"))}
+        ), s AS (SELECT rid, slot, sum(sign) AS value FROM e GROUP BY ALL HAVING sum(sign) <> 0)
+        SELECT h.l_orderkey, h.l_linenumber, coalesce(string_agg(slot || ':' || value, ' ' ORDER BY slot), '') AS slots
+        FROM h LEFT JOIN s USING (rid) GROUP BY h.rid, h.l_orderkey, h.l_linenumber""",
+)
+def one_hot_hashed(spark, d):
+    """A column with a category per line next to others, in 1,024 slots; lines of each fifth order are unseen."""
+    lines = _hashed_lines(spark, d)
+    known = H.hash_vocabulary(lines.where("l_orderkey % 5 <> 0"), ["line", "part", "flag"], 1024)
+    slotted = H.hashed_slots(lines, known, ["line", "part", "flag"])
+    text = F.array_join(F.transform("slots", lambda e: F.concat_ws(":", e["slot"], e["value"])), " ")
+    return slotted.select("l_orderkey", "l_linenumber", text.alias("slots"))
+
+
+@query(
+    "hash_collisions",
+    f"""{_VOCABULARY}, f AS (SELECT slot, count(*) AS together FROM v GROUP BY slot)
+        SELECT name, count(*) AS n_values, count(DISTINCT slot) AS n_slots, CAST(count_if(together > 1) AS BIGINT) AS n_shared,
+               round(sum(CASE WHEN together > 1 THEN n ELSE 0 END) / sum(n)::DOUBLE, 9) AS shared_rows FROM v JOIN f USING (slot) GROUP BY name""",
+)
+def hash_collisions(spark, d):
+    known = H.hash_vocabulary(_hashed_lines(spark, d).where("l_orderkey % 5 <> 0"), ["line", "part", "flag"], 1024)
+    return rounded(H.collision_report(known), ["shared_rows"], 9)

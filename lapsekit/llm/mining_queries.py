@@ -10,7 +10,7 @@ from lapsekit.llm.registry import query, table
 
 @query("op11_best_fit_packing")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.pieces(table(spark, sf_dir, "documents")).drop("ids"))
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), with_ids=False))
 
 
 OP12_SQL = """

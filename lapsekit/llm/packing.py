@@ -123,11 +123,13 @@ def _tokenizer(definition: str) -> WordTokenizer:
     return _TOKENIZERS[definition]
 
 
-PIECES = "doc_id long, piece int, start long, length long, ids array<int>, ids_crc32 long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER, capacity: int = CAPACITY) -> DataFrame:
-    """Token pieces of ``docs(doc_id, text)``: ``doc_id, piece, start, length, ids, ids_crc32``.
+def pieces(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
+    """Token pieces of ``docs(doc_id, text)``: ``doc_id, piece, start, length, ids_crc32, ids``.
+
+    ``with_ids=False`` leaves the ids themselves out, where lengths and digests are enough.
 
     A document is its ids followed by id 0. Documents of up to ``capacity`` ids are one
     piece, longer ones are cut every ``capacity`` ids. A null or empty text is the single
@@ -137,6 +139,8 @@ def pieces(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER, capacity: int =
     """
     with open(tokenizer, encoding="utf-8") as file:
         definition = file.read()
+    schema = PIECES + (", ids array<int>" if with_ids else "")
+    names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _tokenizer(definition)
@@ -146,14 +150,15 @@ def pieces(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER, capacity: int =
         def flush() -> pa.RecordBatch:
             doc, piece, start, ids = zip(*rows)
             size = np.array([len(x) for x in ids])
-            flat = np.concatenate(ids).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), pa.array(flat))
             columns = [
                 pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()),
-                lists, pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()),
+                pa.array([zlib.crc32(x) for x in ids], pa.int64()),
             ]
+            if with_ids:
+                offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32))))
             rows.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids", "ids_crc32"])
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())):
@@ -169,7 +174,7 @@ def pieces(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER, capacity: int =
         if rows:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 # ---- the plan: from counts per length to rank ranges

@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lapsekit.operators.columns import as_list
-from lapsekit.plans.sizing import fits
+from lapsekit.operators.ranks import text_running_before
+from lapsekit.plans.sizing import SINGLE_TASK_BYTES, fits
 
 # Hash ranges per class, as a power of two. The split itself does not depend on it.
 RANGE_BITS = 12
@@ -37,11 +38,11 @@ def _keyed(df: DataFrame, label: str | None, ids: list[str], seed: int, range_bi
     )
 
 
-def _offsets(keyed: DataFrame, label: str | None) -> DataFrame:
+def _offsets(keyed: DataFrame, label: str | None, few: bool) -> DataFrame:
     """Per class and range: rows of earlier ranges in the class, rows of earlier classes, class size.
 
-    Ranges are accumulated inside their class; only the totals of whole classes, one
-    row each, are accumulated over all classes.
+    Ranges are accumulated inside their class. The totals of whole classes are accumulated over all
+    classes: in one task where the whole table would fit one (``few``), else by ranges of class names.
     """
     sizes = keyed.groupBy(*_BY_RANGE).agg(F.count(F.lit(1)).alias("n"))
     before = (Window.unboundedPreceding, -1)
@@ -51,8 +52,7 @@ def _offsets(keyed: DataFrame, label: str | None) -> DataFrame:
         # A single class: one row per range.
         return sizes.select(*_BY_RANGE, offset, F.lit(0).alias("__before"), F.sum("n").over(in_class).alias("__size"))
     totals = sizes.groupBy("__class").agg(F.sum("n").alias("__size"))
-    earlier = Window.partitionBy(F.lit(0)).orderBy("__class").rowsBetween(*before)
-    totals = totals.withColumn("__before", F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
+    totals = text_running_before(totals, "__class", ["__size"], one_task=few).withColumnRenamed("__size_before", "__before")
     return sizes.select(*_BY_RANGE, offset).join(totals, "__class").select(*_BY_RANGE, "__offset", "__before", "__size")
 
 
@@ -66,6 +66,43 @@ def _ranked(keyed: DataFrame, offsets: DataFrame, ids: list[str]) -> DataFrame:
     )
 
 
+def _shares(totals: DataFrame, total: Column, test_size: float) -> DataFrame:
+    """Add each class's share of the test rows, its whole part and the remainder."""
+    wanted = F.ceil(F.round(total * float(test_size), 9))
+    shared = totals.withColumn("total", total).withColumn("wanted", wanted).withColumn("share", F.col("n") * F.col("wanted") / F.col("total"))
+    return shared.withColumn("base", F.floor("share")).withColumn("rest", F.col("share") - F.col("base"))
+
+
+def _quotas_in_one_task(totals: DataFrame, test_size: float) -> DataFrame:
+    """``__class, __quota`` by largest remainder, equal remainders by name; windows over one row per class."""
+    everything = Window.partitionBy(F.lit(0))
+    shares = _shares(totals, F.sum("n").over(everything), test_size)
+    order = F.row_number().over(everything.orderBy(F.desc("rest"), "__class"))
+    spare = F.col("wanted") - F.sum("base").over(everything)
+    return shares.withColumns({"order": order, "spare": spare}).select(
+        "__class", (F.col("base") + (F.col("order") <= F.col("spare")).cast("int")).alias("__quota")
+    )
+
+
+def _quotas(totals: DataFrame, test_size: float) -> DataFrame:
+    """The same for any number of classes.
+
+    A remainder depends on the class's size alone, so the spare rows are first dealt over distinct
+    remainders, of which there are at most as many as sizes. Only classes at the one remainder where
+    they run out are put in order of name, by ranges.
+    """
+    shares = _shares(totals, totals.agg(F.sum("n")).scalar(), test_size)
+    spare = shares.agg(F.max("wanted") - F.sum("base")).scalar()
+    rests = shares.groupBy("rest").agg(F.count(F.lit(1)).alias("m"))
+    larger = Window.partitionBy(F.lit(0)).orderBy(F.desc("rest")).rowsBetween(Window.unboundedPreceding, -1)
+    taken = F.least(F.greatest(spare - F.coalesce(F.sum("m").over(larger), F.lit(0)), F.lit(0)), F.col("m"))
+    dealt = shares.select("__class", "base", "rest").join(rests.select("rest", "m", taken.alias("taken")), "rest")
+    edge = dealt.where("taken > 0 and taken < m").select("__class", "taken", F.lit(1).alias("one"))
+    first = text_running_before(edge, "__class", ["one"]).where("one_before < taken").select("__class", F.lit(1).alias("__first"))
+    more = F.when(F.col("taken") == F.col("m"), 1).otherwise(F.coalesce("__first", F.lit(0)))
+    return dealt.join(first, "__class", "left").select("__class", (F.col("base") + more).alias("__quota"))
+
+
 def kfold_assign(
     df: DataFrame,
     label: str | None,
@@ -74,15 +111,18 @@ def kfold_assign(
     seed: int = 42,
     fold_col: str = "fold",
     range_bits: int | None = None,
+    few_classes: bool | None = None,
 ) -> DataFrame:
     """Add a fold number from 0; per class, and overall, fold sizes differ by at most one.
 
-    ``id_cols`` must identify a row; without them the whole row is hashed.
+    ``id_cols`` must identify a row; without them the whole row is hashed. The label may have as many
+    classes as rows: unless the table is small (or ``few_classes`` says so), no task holds a row for every class.
     """
     ids = as_list(id_cols) or df.columns
+    few = fits(df, SINGLE_TASK_BYTES) if few_classes is None else few_classes
     keyed = _keyed(df, label, ids, seed, range_bits or range_bits_for(df))
     place = F.col("__before") + F.col("__rank") - 1
-    ranked = _ranked(keyed, _offsets(keyed, label), ids)
+    ranked = _ranked(keyed, _offsets(keyed, label, few), ids)
     return ranked.select(*df.columns, F.pmod(place, F.lit(n_splits)).cast("int").alias(fold_col))
 
 
@@ -94,32 +134,23 @@ def holdout_split(
     seed: int = 42,
     test_col: str = "is_test",
     range_bits: int | None = None,
+    few_classes: bool | None = None,
 ) -> DataFrame:
     """Add a test flag on exactly ``ceil(test_size * n)`` rows.
 
     Each class gives its proportional share, rounded by largest remainder. With
     ``label=None`` the split is plain random. ``id_cols`` must identify a row;
-    without them the whole row is hashed.
+    without them the whole row is hashed. ``few_classes`` as in :func:`kfold_assign`.
     """
     ids = as_list(id_cols) or df.columns
+    few = fits(df, SINGLE_TASK_BYTES) if few_classes is None else few_classes
     keyed = _keyed(df, label, ids, seed, range_bits or range_bits_for(df))
-    offsets = _offsets(keyed, label)
+    offsets = _offsets(keyed, label, few)
     if label is None:
         rows_wanted = F.ceil(F.round(F.sum("n") * float(test_size), 9))
         quota = keyed.groupBy(*_BY_RANGE).agg(F.count(F.lit(1)).alias("n")).agg(rows_wanted).scalar()
         return _ranked(keyed, offsets, ids).select(*df.columns, (F.col("__rank") <= quota).alias(test_col))
-    # The windows below run over one row per class.
-    everything = Window.partitionBy(F.lit(0))
-    remainder = F.col("share") - F.col("base")
-    quotas = (
-        offsets.groupBy("__class").agg(F.max("__size").alias("n"))
-        .withColumn("total", F.sum("n").over(everything))
-        .withColumn("wanted", F.ceil(F.round(F.col("total") * float(test_size), 9)))
-        .withColumn("share", F.col("n") * F.col("wanted") / F.col("total"))
-        .withColumn("base", F.floor("share"))
-        .withColumn("order", F.row_number().over(everything.orderBy(F.desc(remainder), "__class")))
-        .withColumn("spare", F.col("wanted") - F.sum("base").over(everything))
-        .select("__class", (F.col("base") + (F.col("order") <= F.col("spare")).cast("int")).alias("__quota"))
-    )
+    totals = offsets.groupBy("__class").agg(F.max("__size").alias("n"))
+    quotas = (_quotas_in_one_task if few else _quotas)(totals, test_size)
     ranked = _ranked(keyed, offsets.join(quotas, "__class"), ids)
     return ranked.select(*df.columns, (F.col("__rank") <= F.col("__quota")).alias(test_col))

@@ -42,7 +42,8 @@ def with_range(df: DataFrame, group: Sequence[str], value: str, bounds: DataFram
     only = bounds.limit(2).collect()
     if len(only) == 1:
         # A single group needs no join.
-        joined = df.withColumns({c: F.lit(only[0][c]) for c in ("__bounds", "__coarse")})
+        kind = bounds.schema["__bounds"].dataType
+        joined = df.withColumns({c: F.lit(only[0][c]).cast(kind) for c in ("__bounds", "__coarse")})
     else:
         match = F.lit(True)
         for g in group:
@@ -91,3 +92,38 @@ def running_before(
             for a in amounts
         ],
     )
+
+
+def _common_prefix(df: DataFrame, key: str) -> int:
+    """Bytes that all values begin with; two values reach the driver."""
+    low, high = df.agg(F.min(F.encode(key, "UTF-8")), F.max(F.encode(key, "UTF-8"))).first()
+    if low is None:
+        return 0
+    same = [a == b for a, b in zip(low, high)]
+    return same.index(False) if False in same else len(same)
+
+
+def text_running_before(df: DataFrame, key: str, amounts: Sequence[str], ranges: int = RANGES, one_task: bool = False) -> DataFrame:
+    """Add ``<amount>_before``: the sum of the amount over the rows whose text ``key`` comes earlier.
+
+    ``df`` holds one row per present value of ``key``, of which there may be very many. The seven bytes behind the
+    prefix that all values share stand for a value where the order is cut into ranges; the order
+    itself is that of the whole texts. ``one_task`` accumulates a small table by a plain window.
+    """
+    before = (Window.unboundedPreceding, -1)
+    if one_task:
+        earlier = Window.partitionBy(F.lit(0)).orderBy(key).rowsBetween(*before)
+        return df.withColumns({f"{a}_before": F.coalesce(F.sum(a).over(earlier), F.lit(0)) for a in amounts})
+    bytes_ = F.substring(F.encode(key, "UTF-8"), _common_prefix(df, key) + 1, 7)
+    coded = df.withColumn("__code", F.conv(F.rpad(F.hex(bytes_), 14, "0"), 16, 10).cast("long"))
+    ranged = with_range(coded, [], "__code", cut_points(coded, [], "__code", ranges))
+    per_range = ranged.groupBy("__range").agg(*[F.sum(a).alias(f"__{a}") for a in amounts])
+    # One row per range.
+    earlier = Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(*before)
+    offsets = per_range.select(
+        F.col("__range").alias("__offset_range"), *[F.coalesce(F.sum(f"__{a}").over(earlier), F.lit(0)).alias(f"__{a}_offset") for a in amounts]
+    )
+    inside = Window.partitionBy("__range").orderBy(key).rowsBetween(*before)
+    return ranged.join(F.broadcast(offsets), F.col("__range") == F.col("__offset_range")).select(
+        *df.columns, *[(F.col(f"__{a}_offset") + F.coalesce(F.sum(a).over(inside), F.lit(0))).alias(f"{a}_before") for a in amounts]
+    )

@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from lapsekit.operators import hashing, models, sketches, validation
+from lapsekit.operators import folds, hashing, models, ranks, sketches, stats, validation
 from lapsekit.operators.profiling import profile, suite_from_profile
 
 COLUMNS = "x double, k int, s string, d date, b boolean"
@@ -114,3 +114,70 @@ def test_a_model_learns_from_hashed_categories(spark):
     baseline = models.fit({"target": "y", "id_cols": ["id"], "numeric_features": ["one"], "vector_features": ["hashed"], "model": {"name": "logreg"}}, ready)
     scored = models.predict(baseline.model, ready, ["id"], keep=["y"])
     assert scored.where("cast(y as string) = prediction").count() > 570
+
+
+def test_tiles_of_columns_correlate_like_pairs(spark):
+    made = [(float(i), 1e9 + i % 7, None if i % 3 else i * i * 1.0, 4.0, float("nan") if i % 4 == 0 else -i / 3, None) for i in range(200)]
+    df = spark.createDataFrame(made, "a double, b double, c double, d double, e double, f double")
+    pairs = {(r[0], r[1]): r[2] for r in stats.correlation_pairs(df).collect()}
+    for tile in (2, 4, 100):
+        tiles = {(r[0], r[1]): r[2] for r in stats.correlation_tiles(df, tile=tile).collect()}
+        assert tiles.keys() == pairs.keys()
+        for key, value in pairs.items():
+            if "d" in key or "f" in key:
+                assert tiles[key] is None
+            else:
+                assert tiles[key] == pytest.approx(value, abs=1e-6)
+    assert stats.correlation_tiles(df.limit(0)).where("corr is not null").count() == 0
+    assert stats.correlation_tiles(df, ["a"]).count() == 0
+
+
+def test_running_totals_over_texts(spark):
+    import random
+
+    rng = random.Random(1)
+    words = {f"user_{rng.randrange(10**6)}" for _ in range(400)} | {"", "user_", "übung", "user_é", "user_12345678", "user_123456789"}
+    made = [(w, rng.randrange(9)) for w in words]
+    df = spark.createDataFrame(made, "w string, n long")
+    want, total = [], 0
+    for w, n in sorted(made, key=lambda t: t[0].encode()):
+        want.append((w, n, total))
+        total += n
+    for few in (True, False):
+        assert sorted(map(tuple, ranks.text_running_before(df, "w", ["n"], ranges=40, one_task=few).collect())) == sorted(want)
+    only = df.where("w like 'user_1%'")
+    assert ranks.text_running_before(only, "w", ["n"], ranges=5).count() == only.count()
+    assert ranks.text_running_before(df.limit(0), "w", ["n"]).count() == 0
+
+
+@pytest.mark.parametrize("classes", [1, 3, 150, 600])
+def test_splits_of_many_classes_are_those_of_few(spark, classes):
+    df = spark.range(600).select("id", F.when(F.col("id") % classes == 5, None).otherwise(F.concat(F.lit("c"), F.pmod(F.xxhash64("id"), F.lit(classes)))).alias("y"))
+    for few, many in (
+        (folds.kfold_assign(df, "y", "id", 7, few_classes=True), folds.kfold_assign(df, "y", "id", 7, few_classes=False)),
+        (folds.holdout_split(df, "y", "id", 0.3, few_classes=True), folds.holdout_split(df, "y", "id", 0.3, few_classes=False)),
+    ):
+        assert sorted(map(tuple, many.collect()), key=repr) == sorted(map(tuple, few.collect()), key=repr)
+    assert folds.holdout_split(df, "y", "id", 0.3, few_classes=False).where("is_test").count() == 180
+
+
+def test_no_task_holds_a_row_for_every_class(spark):
+    df = spark.range(5000).select("id", F.concat(F.lit("label"), F.col("id")).alias("y"))
+    split = folds.holdout_split(df, "y", "id", 0.3, range_bits=2, few_classes=False)
+    split.count()
+    alone = []
+
+    def walk(plan):
+        name = plan.nodeName()
+        if name == "Exchange" and "SinglePartition" in plan.toString().splitlines()[0]:
+            alone.append(plan.metrics().get("shuffleRecordsWritten").get().value())
+        children = [plan.executedPlan()] if name == "AdaptiveSparkPlan" else [plan.plan()] if "QueryStage" in name else []
+        inner = plan.children()
+        children += [inner.apply(i) for i in range(inner.size())]
+        for child in children:
+            walk(child)
+
+    rows = split._jdf.queryExecution()
+    split._jdf.queryExecution().executedPlan().executeCollect()
+    walk(rows.executedPlan())
+    assert alone and max(alone) <= 512 * 8

@@ -6,10 +6,11 @@ over language and the five columns then sums them to ever shorter prefixes: ever
 phrase is the prefix of exactly the windows that begin where it occurs, so all
 phrase counts, the counts of single words and the number of words come from one pass.
 
-A phrase that occurs often consists of words and pairs that do. Two bitmaps of fixed
-size, of words and of pairs counted by 64-bit hashes, end a window early before a pair
-that is too rare. Hashes that collide let a window grow too long, which changes no
-count that is kept; the windows themselves hold the words as text.
+A phrase that occurs often consists of words, pairs and triples that do. Three bitmaps of
+fixed size, of those counted by 64-bit hashes, end a window early where it would hold a
+rarer one: such windows are nearly all different and would fill the shuffle for nothing. Hashes that
+collide let a window grow too long, which changes no count that is kept; the windows
+themselves hold the words as text.
 """
 
 from __future__ import annotations
@@ -24,12 +25,20 @@ from lapsekit.llm.idfilter import bitmap
 from lapsekit.llm.texts import flat, lowered, mix, pieces, span_hashes
 from lapsekit.session import materialize
 
-LONGEST = 5
+LONGEST, FILTERED = 5, 3
 UNKNOWN = "und"
-SLICE = 1 << 22
+#: Bytes of text taken at a time where hashes and where windows are counted.
+SLICE, WINDOW_SLICE = 1 << 21, 1 << 19
+#: Bits of the hashes that are counted; and how many counts of them a task gathers before it hands them on.
+HASH_BITS, GATHERED = 40, 1 << 20
 #: Word columns of a window, and what stands for a word too rare to begin a phrase (no word is empty).
 COLUMNS = [f"w{i}" for i in range(1, LONGEST + 1)]
 RARE = ""
+#: Exact in 38 decimal digits.
+SCORE = (
+    "cast(1000BD * cast(a as decimal(18, 0)) as decimal(22, 0)) * cast(n as decimal(16, 0)) "
+    "div (cast(l as decimal(18, 0)) * cast(r as decimal(18, 0)))"
+)
 _SPLIT = np.zeros(256, dtype=bool)
 _SPLIT[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 _GAP = _SPLIT.copy()
@@ -65,76 +74,96 @@ class _Words:
         self.lang = code
         self.hash = mix(span_hashes(data, self.start, self.end) ^ mix(salt[code])) if n else np.zeros(0, np.uint64)
 
-    def pairs(self) -> np.ndarray:
-        """The hash of each word with its successor; meaningless where none follows."""
-        out = self.hash.copy()
+    def joined(self, hashes: np.ndarray) -> np.ndarray:
+        """From hashes of runs of words, those of the runs one word longer; meaningless where none follows."""
+        out = hashes.copy()
         with np.errstate(over="ignore"):
-            out[:-1] = mix(self.hash[:-1] * np.uint64(3) + mix(self.hash[1:]))
+            out[:-1] = mix(self.hash[:-1] * np.uint64(3) + mix(hashes[1:]))
         return out
 
+    def frequent(self, marked: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """Which words begin a frequent run of 1, 2, ... words by the bitmaps so far; which may begin a run one longer, and its hashes."""
+        held, hashes = [], self.hash
+        may = np.ones(len(self.start), dtype=bool)
+        for bits in marked:
+            often = may.copy()
+            often[may] = _in(bits, hashes[may])
+            held.append(often)
+            may = often & self.follows
+            may[:-1] &= often[1:]
+            hashes = self.joined(hashes)
+        return held, may, hashes
+
+
+def _shortened(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - HASH_BITS)
+
 
 def _in(marked: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     bits = int(len(marked) * 64).bit_length() - 1
-    at = (mix(hashes) >> np.uint64(64 - bits)).astype(np.int64)
+    at = (mix(_shortened(hashes)) >> np.uint64(64 - bits)).astype(np.int64)
     return (marked[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
 
 
-def _hash_counts(words: np.ndarray | None):
-    """Counts of hashed words or, given the bitmap of frequent words, of hashed pairs of them; per slice."""
+def _hash_counts(marked: list[np.ndarray]):
+    """Counts of the hashed runs that are one word longer than the last bitmap's."""
+
+    def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        hashes, counts = (np.concatenate(x) for x in zip(*parts))
+        value, place = np.unique(hashes, return_inverse=True)
+        total = np.bincount(place, weights=counts, minlength=len(value)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(value.astype(np.int64)), pa.array(total)], names=["id", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
             for part in pieces(batch, "text", SLICE):
-                found = _Words(part)
-                if words is None:
-                    hashes = found.hash
-                else:
-                    often = _in(words, found.hash)
-                    both = found.follows & often
-                    both[:-1] &= often[1:]
-                    hashes = found.pairs()[both]
-                value, count = np.unique(hashes, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(value.astype(np.int64)), pa.array(count)], names=["id", "n"])
+                _, may, hashes = _Words(part).frequent(marked)
+                parts.append(np.unique(_shortened(hashes[may]), return_counts=True))
+                held += len(parts[-1][0])
+                if held > GATHERED:
+                    yield summed(parts)
+                    parts, held = [], 0
+        if parts:
+            yield summed(parts)
 
     return run
 
 
-def _windows(words: np.ndarray, pairs: np.ndarray):
-    """The longest windows of each slice with their counts."""
+def _windows(marked: list[np.ndarray]):
+    """The longest windows of each slice with their counts; Spark's partial aggregate combines a task's slices."""
+    keys = ["lang", *COLUMNS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text", SLICE):
+            for part in pieces(batch, "text", WINDOW_SLICE):
                 found = _Words(part)
                 n = len(found.start)
                 if not n:
                     continue
-                often = _in(words, found.hash)
-                on = found.follows & often
-                on[:-1] &= often[1:]
-                on[on] = _in(pairs, found.pairs()[on])
+                often, *longer = found.frequent(marked)[0]
                 # Words as numbers, equal texts by equal number; 0 is rare, -1 is padding.
                 texts = pa.BinaryArray.from_buffers(
                     pa.binary(), n, [None, pa.py_buffer(_offsets(found)), pa.py_buffer(_packed(found))]
                 ).dictionary_encode()
                 number = np.where(often, np.asarray(texts.indices).astype(np.int64) + 1, 0)
-                columns, alive = [found.lang.astype(np.int64), number], on.copy()
+                columns, alive = [found.lang.astype(np.int64), number], often
                 for i in range(1, LONGEST):
+                    # The i-th further word stands if every run of bitmap length up to it is frequent.
+                    run_ = longer[min(i, len(longer)) - 1]
+                    back = max(0, i - len(longer))
+                    alive = alive & np.concatenate((run_[back:], np.zeros(min(back, n), dtype=bool)))
                     column = np.full(n, -1, dtype=np.int64)
-                    at = np.flatnonzero(alive[: n - i]) if n > i else np.zeros(0, np.int64)
+                    at = np.flatnonzero(alive)
                     column[at] = number[at + i]
                     columns.append(column)
-                    following = np.zeros(n, dtype=bool)
-                    following[at] = on[at + i]
-                    alive = following
-                table = pa.table(columns, names=["lang", *COLUMNS]).group_by(["lang", *COLUMNS]).aggregate([([], "count_all")])
-                table = table.combine_chunks()
+                table = pa.table(columns, names=keys).group_by(keys).aggregate([([], "count_all")]).combine_chunks()
                 names = pa.concat_arrays([pa.array([RARE]), texts.dictionary.cast(pa.string())])
                 out = [found.langs.dictionary.take(table["lang"].combine_chunks())]
                 for c in COLUMNS:
                     codes = table[c].combine_chunks().to_numpy()
                     out.append(names.take(pa.array(codes, mask=codes < 0)))
-                yield pa.RecordBatch.from_arrays([*out, table["count_all"].combine_chunks()], names=["lang", *COLUMNS, "n"])
+                yield pa.RecordBatch.from_arrays([*out, table["count_all"].combine_chunks()], names=[*keys, "n"])
 
     return run
 
@@ -154,13 +183,11 @@ def phrase_counts(docs: DataFrame, least: int = 100) -> tuple[DataFrame, DataFra
     """``lang, n`` and ``lang, size, phrase, f`` of all phrases of up to five words that occur ``least`` times."""
     base = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
 
-    def frequent(marked: np.ndarray | None) -> np.ndarray:
-        counts = base.mapInArrow(_hash_counts(marked), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-        return bitmap(counts.where(F.col("n") >= least).select("id"))
-
-    words = frequent(None)
-    pairs = frequent(words)
-    windows = base.mapInArrow(_windows(words, pairs), f"lang string, {', '.join(f'{c} string' for c in COLUMNS)}, n long")
+    marked: list[np.ndarray] = []
+    for _ in range(FILTERED):
+        counts = base.mapInArrow(_hash_counts(list(marked)), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+        marked.append(bitmap(counts.where(F.col("n") >= least).select("id")))
+    windows = base.mapInArrow(_windows(marked), f"lang string, {', '.join(f'{c} string' for c in COLUMNS)}, n long")
     whole = windows.groupBy("lang", *COLUMNS).agg(F.sum("n").alias("n"))
     rolled = whole.rollup("lang", *COLUMNS).agg(F.grouping_id().alias("_gid"), F.sum("n").alias("f"))
     # grouping_id() has one bit per column that is summed over: size words stand when the last LONGEST - size bits are set.
@@ -198,8 +225,7 @@ def collocations(docs: DataFrame, least: int = 100, best: int = 2000, absorbed:
     cut = cut.join(counts.select("lang", F.col("phrase").alias("left"), F.col("f").alias("l")), ["lang", "left"])
     cut = cut.join(counts.select("lang", F.col("phrase").alias("right"), F.col("f").alias("r")), ["lang", "right"])
     cut = cut.join(totals, "lang")
-    score = F.expr("cast(1000BD * cast(a as decimal(18, 0)) as decimal(22, 0)) * cast(n as decimal(16, 0)) div (cast(l as decimal(18, 0)) * cast(r as decimal(18, 0)))")
-    scored = cut.withColumn("score", score).groupBy("lang", "phrase").agg(
+    scored = cut.withColumn("score", F.expr(SCORE)).groupBy("lang", "phrase").agg(
         F.min(F.struct("score", "k", "a", "l", "r", "n")).alias("cut")
     )
     around = candidates.where("size > 2").withColumn("words", F.split("phrase", " "))

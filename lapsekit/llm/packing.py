@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
 from array import array
 from collections import deque
@@ -38,7 +39,7 @@ DEFAULT_TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 #: Shares of a sequence above which a piece is large, and numbers of groups, that are tried.
 TRIED = [(2, 64), (3, 64), (5, 64), (3, 192)]
 KNOWN_WORDS, KNOWN_BYTES, SLICE = 1 << 19, 64, 1 << 20
-_LETTERS = re.compile(rb"([A-Za-z]+)([.,;:!?]?)")
+_LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 
 
@@ -61,55 +62,59 @@ class WordTokenizer:
         self.model.no_truncation()
         self.model.no_padding()
         self.added = [t.content.encode() for t in self.model.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, array] = {}
-        split = [p for p, _ in self.model.pre_tokenizer.pre_tokenize_str("ab,")] if self.model.pre_tokenizer else []
-        folded = self.model.normalizer is not None and self.model.normalizer.normalize_str("AbZ") == "abz"
-        self.letters_alone = folded and split == ["ab", ","]
+        self.known: dict[bytes, bytes] = {}
+        before, norm = self.model.pre_tokenizer, self.model.normalizer
+        self.letters_alone = (
+            before is not None and norm is not None and norm.normalize_str("AbZÀÖØÞß") == "abzàöøþß"
+            and [p for p, _ in before.pre_tokenize_str("ab,")] == ["ab", ","]
+        )
+        # How the pre-tokenizer spells each accented letter.
+        self.spelling = {c: before.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100) if c != 0xF7} if self.letters_alone else {}
 
     def _learn(self, new: list[bytes]) -> None:
         """Remember the ids of new words. Where the tokenizer lowers letters and parts them from the sign
-        behind (probed above), such words go straight to its model."""
+        behind (probed above), Latin words go straight to its model."""
         known, tokenize, rest = self.known, self.model.model.tokenize, []
         for word in new:
-            match = _LETTERS.fullmatch(word) if self.letters_alone else None
+            text = word.decode()
+            match = _LETTERS.fullmatch(text) if self.letters_alone else None
             if match is None:
-                rest.append(word)
+                rest.append((word, text))
             else:
-                ids = array("I", [t.id for t in tokenize(match[1].lower().decode())])
+                ids = [t.id for t in tokenize(match[1].lower().translate(self.spelling))]
                 if match[2]:
-                    ids.extend([t.id for t in tokenize(match[2].decode())])
-                known[word] = ids
-        texts = [w.decode() for w in rest]
-        for word, encoded in zip(rest, self.model.encode_batch_fast(texts, add_special_tokens=False) if rest else ()):
-            known[word] = array("I", encoded.ids)
+                    ids += [t.id for t in tokenize(match[2])]
+                known[word] = array("I", ids).tobytes()
+        if rest:
+            encoded = self.model.encode_batch_fast([text for _, text in rest], add_special_tokens=False)
+            known.update((word, array("I", e.ids).tobytes()) for (word, _), e in zip(rest, encoded))
 
-    def _words(self, words: list[bytes], out: array) -> None:
+    def _words(self, words: list[bytes]) -> bytes:
         known = self.known
-        new = [w for w in set(words) if w not in known]
-        self._learn(new)
-        for word in words:
-            out += known[word]
+        new = list(set(words).difference(known))
+        if new:
+            self._learn(new)
+        out = b"".join(map(known.__getitem__, words))
         for word in new:
             if len(word) > KNOWN_BYTES:
                 del known[word]
         if len(known) > KNOWN_WORDS:
             known.clear()
+        return out
 
-    def ids(self, text: bytes) -> array:
-        """The ids of a text given in UTF-8."""
-        out = array("I")
+    def ids(self, text: bytes) -> bytes:
+        """The ids of a text given in UTF-8, four bytes each."""
         if any(mark in text for mark in self.added):
-            out.extend(self.model.encode(text.decode(), add_special_tokens=False).ids)
-            return out
-        at = 0
+            return array("I", self.model.encode(text.decode(), add_special_tokens=False).ids).tobytes()
+        parts, at = [], 0
         while at < len(text):
             end = at + SLICE
             if end < len(text):
                 cut = _SPACE.search(text, end)
                 end = cut.start() if cut else len(text)
-            self._words(text[at:end].split(), out)
+            parts.append(self._words(text[at:end].split()))
             at = end
-        return out
+        return b"".join(parts)
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -162,8 +167,7 @@ def pieces(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER, capacity: int =
 
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())):
-                found = model.ids(text.as_py() or b"")
-                found.append(END_ID)
+                found = model.ids(text.as_py() or b"") + END_ID.to_bytes(4, sys.byteorder)
                 ids = np.frombuffer(found, dtype=np.uint32).astype("<u4", copy=False)
                 for i, at in enumerate(range(0, len(ids), capacity)):
                     rows.append((doc, i, at, ids[at : at + capacity]))

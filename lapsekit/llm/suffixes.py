@@ -28,6 +28,8 @@ from lapsekit.llm.texts import BASE, BYTES, INVERSE, flat, mix, pieces, powers
 from lapsekit.session import materialize
 
 LENGTH, ANCHOR, SHARD_BYTES, BITS = 200, 40, 1 << 21, 26
+#: Strings of a context at most, and bytes of one text that are looked at together.
+STARTS, SEGMENT = 1 << 12, 1 << 21
 
 
 def _anchor_hashes(data: np.ndarray, k: int) -> np.ndarray:
@@ -38,10 +40,15 @@ def _anchor_hashes(data: np.ndarray, k: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """Hash, row, first string start (within all bytes) and number of string starts of each anchor's context."""
+    """Hash, row, first string start (within all bytes) and number of string starts of each anchor's context, and
+    whether its anchor stands at several places in it.
+
+    Neighbouring strings stay in one context as long as their anchors are equal, wherever those stand, so periodic
+    text is one context too; a context is cut after ``STARTS`` strings.
+    """
     none = np.zeros(0, dtype=np.int64)
     if len(data) < length:
-        return none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none, none, none, none.astype(bool)
     hashes, w = _anchor_hashes(data, k), length - k + 1
     low = np.uint64((1 << int(len(hashes)).bit_length()) - 1)
     key = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
@@ -60,12 +67,27 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: int
     np.add.at(ok, offsets[1:][long_] - length + 1, -1)
     start = np.flatnonzero(np.cumsum(ok)[:n] > 0)
     if not len(start):
-        return none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none, none, none, none.astype(bool)
     place = (least[start] & low).astype(np.int64)
-    new = np.concatenate(([True], (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)))
-    first = start[new]
-    count = np.diff(np.append(np.flatnonzero(new), len(start)))
-    return hashes[place[new]], np.searchsorted(offsets, first, side="right") - 1, first, count
+    anchor = hashes[place]
+    new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)))
+    begin = np.flatnonzero(new)
+    new |= (np.arange(len(start)) - np.repeat(begin, np.diff(np.append(begin, len(start))))) % STARTS == 0
+    begin = np.flatnonzero(new)
+    moved = np.concatenate(([False], place[1:] != place[:-1])) & ~new
+    first, count = start[new], np.diff(np.append(begin, len(start)))
+    return anchor[new], np.searchsorted(offsets, first, side="right") - 1, first, count, np.add.reduceat(moved, begin) > 0
+
+
+def _segments(column: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Bytes, row offsets and the place of the first byte in its row; a long text comes in parts that share ``length - 1`` bytes."""
+    data, offsets = flat(column)
+    if len(offsets) != 2 or len(data) <= SEGMENT + length:
+        yield data, offsets, 0
+        return
+    for at in range(0, len(data) - length + 1, SEGMENT):
+        part = data[at : at + SEGMENT + length - 1]
+        yield part, np.array([0, len(part)]), at
 
 
 def refine(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,8 +241,11 @@ def _counts(length: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                value, count = np.unique(anchors(*flat(part.column("text")), length, k)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(value.astype(np.int64)), pa.array(count.astype(np.int64))], names=["h", "n"])
+                for data, offsets, _ in _segments(part.column("text"), length):
+                    h, _, _, _, several = anchors(data, offsets, length, k)
+                    value, place = np.unique(h, return_inverse=True)
+                    count = np.bincount(place, weights=1 + several, minlength=len(value)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(value.astype(np.int64)), pa.array(count)], names=["h", "n"])
 
     return run
 
@@ -231,34 +256,43 @@ def _contexts(length: int, k: int, bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                data, offsets = flat(part.column("text"))
-                h, row, first, count = anchors(data, offsets, length, k)
-                bit = h & mask
-                likely = (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
-                h, row, first, count = h[likely], row[likely], first[likely], count[likely]
-                if not len(h):
-                    continue
-                size = count + length - 1
-                ends = np.cumsum(size)
-                bounds = np.concatenate(([0], ends)).astype(np.int32)
-                place = np.arange(int(ends[-1])) + np.repeat(first - (ends - size), size)
-                raw = data[place]
-                context = pa.BinaryArray.from_buffers(pa.binary(), len(h), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(raw.tobytes())])
-                total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTES[data] * powers(BASE, len(data)), dtype=np.uint64)))
-                with np.errstate(over="ignore"):
-                    c = mix((total[first + size] - total[first]) * powers(INVERSE, len(data) + 1)[first] + size.astype(np.uint64))
-                rows = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(h.astype(np.int64)), pa.array(c.astype(np.int64)), context, part.column("k1").take(rows), part.column("k2").take(rows),
-                        pa.array((first - offsets[row]).astype(np.int64)),
-                    ],
-                    names=["h", "c", "context", "k1", "k2", "start"],
-                )
+                for data, offsets, at in _segments(part.column("text"), length):
+                    found = _context_rows(part, data, offsets, at, length, k, bitmap, mask)
+                    if found is not None:
+                        yield found
 
     return run
 
 
+def _context_rows(
+    part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, at: int, length: int, k: int, bitmap: np.ndarray, mask: np.uint64
+) -> pa.RecordBatch | None:
+    """The contexts of the anchors that are in the bitmap."""
+    h, row, first, count, several = anchors(data, offsets, length, k)
+    bit = h & mask
+    likely = (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
+    h, row, first, count, several = h[likely], row[likely], first[likely], count[likely], several[likely]
+    if not len(h):
+        return None
+    size = count + length - 1
+    ends = np.cumsum(size)
+    bounds = np.concatenate(([0], ends)).astype(np.int32)
+    place = np.arange(int(ends[-1])) + np.repeat(first - (ends - size), size)
+    raw = data[place]
+    context = pa.BinaryArray.from_buffers(pa.binary(), len(h), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(raw.tobytes())])
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTES[data] * powers(BASE, len(data)), dtype=np.uint64)))
+    with np.errstate(over="ignore"):
+        c = mix((total[first + size] - total[first]) * powers(INVERSE, len(data) + 1)[first] + size.astype(np.uint64))
+    rows = pa.array(row)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(h.astype(np.int64)), pa.array(c.astype(np.int64)), context, part.column("k1").take(rows), part.column("k2").take(rows),
+            pa.array((at + first - offsets[row]).astype(np.int64)), pa.array(several),
+        ],
+        names=["h", "c", "context", "k1", "k2", "start", "several"],
+    )
+
+
 def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
     """A bitmap of the hashes, ``2 ** bits`` bits however many there are; a bit set in vain only costs a shuffled context."""
     rows = hashes.select(F.col("h").bitwiseAND(F.lit((1 << bits) - 1)).alias("bit"))
@@ -306,12 +340,12 @@ def repeated_stretches(texts: DataFrame, length: int = LENGTH, anchor: int = ANC
     """
     counted = texts.select("text").mapInArrow(_counts(length, anchor), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     often = materialize(counted.where("n > 1").select("h"), "anchors")
-    schema = "h long, c long, context binary, k1 long, k2 long, start long"
+    schema = "h long, c long, context binary, k1 long, k2 long, start long, several boolean"
     contexts = materialize(texts.mapInArrow(_contexts(length, anchor, _bitmap(often, bits)), schema), "contexts")
 
-    distinct = materialize(contexts.groupBy("h", "c").agg(F.count("*").alias("n"), F.first("context").alias("context")), "distinct")
-    sizes = distinct.groupBy("h").agg(F.count("*").alias("m"), F.sum(F.length("context")).alias("bytes"))
-    mixed = materialize(sizes.where("m > 1").withColumn("blocks", F.ceil(F.col("bytes") / shard).cast("int")), "mixed")
+    distinct = materialize(contexts.groupBy("h", "c").agg(F.count("*").alias("n"), F.first("context").alias("context"), F.max("several").alias("several")), "distinct")
+    sizes = distinct.groupBy("h").agg(F.count("*").alias("m"), F.sum(F.length("context")).alias("bytes"), F.max("several").alias("several"))
+    mixed = materialize(sizes.where("m > 1 or several").withColumn("blocks", F.ceil(F.col("bytes") / shard).cast("int")), "mixed")
     total = mixed.agg(F.sum("bytes")).first()[0] or 0
     shards = max(1, -(-total // shard))
     dealt = distinct.join(mixed.select("h", "blocks"), "h").select("h", "c", "context", "blocks")
@@ -341,7 +375,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, **options: int) -> Da
 
     A null text is empty; texts under ``length`` bytes keep everything; repeated rows
     repeat each other's bytes; a null ``doc_id`` is a document like others; other
-    columns are ignored. Strings are judged on the input, not on what is left of it.
+    columns are ignored. Strings are judged on the input, not on what is left of it. A long
+    text is looked at in segments of ``SEGMENT`` bytes; the periodic ones take no more than others.
     """
     base = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(7), "text").alias("k2")

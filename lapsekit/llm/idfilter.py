@@ -42,13 +42,13 @@ def bitmap(ids: DataFrame, bits: int = BITS) -> np.ndarray:
     return out
 
 
-def rows_by_bitmap(docs: DataFrame, marked: np.ndarray, inside: bool) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is in the bitmap, or the others; null ids are among the others."""
+def rows_by_bitmap(docs: DataFrame, marked: np.ndarray, inside: bool, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is in the bitmap, or the others; null keys are among the others."""
     bits = int(len(marked) * 64).bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64())
+            column = batch.column(batch.schema.get_field_index(key)).cast(pa.int64())
             at = _place(column.fill_null(0).to_numpy(), bits)
             hit = ((marked[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0) & column.is_valid().to_numpy(zero_copy_only=False)
             yield batch.filter(pa.array(hit == inside))

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lapsekit.llm.components import components
+from lapsekit.llm.components import components, named, smallest_ids
 from lapsekit.llm.idfilter import only_ids
 from lapsekit.llm.texts import mix, pieces, shingle_sets
 from lapsekit.session import materialize
@@ -77,15 +77,11 @@ def _sketches(k: int):
                 n = part.num_rows
                 row, value = shingle_sets(part.column("text"), k)
                 size = np.bincount(row, minlength=n)
-                digest = []
-                for salt in (11, 13):
-                    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(value ^ _salt(salt)), dtype=np.uint64)))
-                    end = np.cumsum(size)
-                    digest.append((total[end] - total[end - size]).astype(np.int64))
+                digest = _digests(value, size)
                 bands = _bands(sketch(row, value, n), BAND)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"), pa.array(size, pa.int64()), pa.array(digest[0]), pa.array(digest[1]),
+                        part.column("doc_id"), pa.array(size, pa.int64()), *digest,
                         _lists(bands.reshape(-1), np.full(n, bands.shape[1])),
                     ],
                     names=["doc_id", "n_shingles", "d1", "d2", "bands"],
@@ -94,13 +90,23 @@ def _sketches(k: int):
     return run
 
 
+def _digests(value: np.ndarray, size: np.ndarray) -> list[pa.Array]:
+    """Two independent 64-bit sums over each set."""
+    out, end = [], np.cumsum(size)
+    for salt in (11, 13):
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(value ^ _salt(salt)), dtype=np.uint64)))
+        out.append(pa.array((total[end] - total[end - size]).astype(np.int64)))
+    return out
+
+
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 row, value = shingle_sets(part.column("text"), k)
                 size = np.bincount(row, minlength=part.num_rows)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(value, size)], names=["id", "items"])
+                columns = [pa.array(size, pa.int64()), *_digests(value, size), _lists(value, size)]
+                yield pa.RecordBatch.from_arrays(columns, names=["n_shingles", "d1", "d2", "items"])
 
     return run
 
@@ -185,14 +191,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
 
     Nulls and empty texts have no shingles and are linked with nothing. A null
     ``doc_id`` is linked with nothing, has no component and is not kept. Rows that
-    repeat a ``doc_id`` count as one document. Other columns are ignored.
+    repeat a ``doc_id`` are one document: what is linked with one of its texts is linked with all, and the
+    rows have one component; ``n_shingles`` is each row's own. Very long texts are taken whole, with about 100 bytes
+    of arrays per byte. Other columns are ignored.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
     rows = materialize(base.mapInArrow(_sketches(shingle), schema), "sketches")
     digest = ["n_shingles", "d1", "d2"]
     usable = rows.where("n_shingles > 0 and doc_id is not null")
-    nodes = materialize(usable.groupBy(*digest).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "nodes")
+    nodes = usable.groupBy(*digest).agg(F.min("doc_id").alias("low"), F.first("bands").alias("bands"))
+    nodes = named(materialize(nodes, "nodes"), *digest)
     placed = nodes.select("id", F.explode("bands").alias("key"))
     buckets = placed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     placed = materialize(placed.join(buckets, "key"), "placed")
@@ -202,8 +211,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
     pivots = placed.groupBy("key").agg((-F.max("rank")["col2"]).alias("pivot"))
     members = materialize(placed.select("key", "id", "c").join(pivots, "key"), "members")
     # Only the texts of bucket members are shuffled for their sets.
-    wanted = materialize(members.select("id").distinct(), "wanted")
-    sets = materialize(only_ids(base, wanted).mapInArrow(_sets(shingle), "id long, items array<long>"), "sets")
+    wanted = materialize(members.select("id").distinct().join(nodes.select("id", "low", *digest), "id"), "wanted")
+    texts = only_ids(base, wanted.select(F.col("low").alias("id")).distinct())
+    lists = texts.mapInArrow(_sets(shingle), "n_shingles long, d1 long, d2 long, items array<long>")
+    # A repeated id brings other texts and a repeated row the same one: one set per node stays.
+    sets = lists.join(wanted.select("id", *digest), digest).groupBy("id").agg(F.first("items").alias("items"))
+    sets = materialize(sets, "sets")
 
     stars = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     links = materialize(_confirmed(stars, sets, threshold), "links")
@@ -214,8 +227,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
     open_ = materialize(labelled.join(split.select("key"), "key", "left_semi"), "open")
     final = components(links.unionByName(_small(open_, sets, threshold)).unionByName(_large(open_, sets, threshold)))
 
-    classes = nodes.select(*digest, "id").join(final, "id", "left").select(*digest, F.coalesce("component", "id").alias("class"))
-    same = rows.select("doc_id", *digest).join(classes, digest, "left")
+    placed = nodes.select(*digest, "id", "low").join(final, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = materialize(placed.select(*digest, "low", "component"), "classes")
+    members = usable.select("doc_id", *digest).join(placed.select(*digest, "component"), digest).select("doc_id", "component")
+    classes = placed.select(*digest, "component").join(smallest_ids(placed.select("component", "low"), members), "component")
+    same = rows.select("doc_id", *digest).join(classes.select(*digest, "class"), digest, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
     return same.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lapsekit.llm.components import components
+from lapsekit.llm.components import components, named, smallest_ids
 from lapsekit.llm.texts import mix
 from lapsekit.session import materialize
 
@@ -413,17 +413,18 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     Vectors that are null, empty, zero or hold nulls or values that are not finite link
     with nothing; so do vectors of different lengths. A null ``vec_id`` has no links
     and no component and is not kept. Equal vectors are one node, weighted by its
-    copies; rows that repeat an id count as vectors of their own. Other columns are ignored.
+    copies; rows that repeat an id are vectors of their own for ``n_links``, and one id for ``component_id``: whatever
+    is reachable from one of them has the same component. Other columns are ignored.
     """
     value = F.col("embedding").cast("array<double>")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), value.alias("vector"))
     fine = "vector is not null and forall(vector, v -> v is not null and not isnan(v) and abs(v) < double('infinity')) and exists(vector, v -> v <> 0)"
     rows = rows.withColumn("ok", F.coalesce(F.expr(fine), F.lit(False)) & F.col("vec_id").isNotNull())
     rows = rows.withColumn("k1", F.xxhash64("vector")).withColumn("k2", F.xxhash64(F.lit(7), "vector"))
-    nodes = rows.where("ok").groupBy("k1", "k2").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("vector").alias("vector"))
-    nodes = materialize(nodes, "nodes")
+    nodes = rows.where("ok").groupBy("k1", "k2").agg(F.min("vec_id").alias("low"), F.count("*").alias("n"), F.first("vector").alias("vector"))
+    nodes = named(materialize(nodes, "nodes"), "k1", "k2")
     count = nodes.count()
-    keys = nodes.select("k1", "k2", "id", "n")
+    keys = nodes.select("k1", "k2", "id", "n", "low")
     if count > 1:
         drawn = nodes.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < (2 * SAMPLE / count) * (1 << 20))
         sample = _matrix(drawn.orderBy(F.xxhash64("id")).limit(SAMPLE).select("vector").toArrow()["vector"])
@@ -441,7 +442,12 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
         keys = keys.join(found, "id", "left").join(links, "id", "left")
     else:
         keys = keys.withColumn("component", F.col("id")).withColumn("links", F.lit(0))
-    keys = keys.select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("class"), F.lit(True).alias("ok"))
+    keys = keys.withColumn("component", F.coalesce("component", "id"))
+    # Nodes are named by content; rows of one id may be several nodes, which joins their components.
+    classes = smallest_ids(keys.select("component", "low"), rows.where("ok").join(keys.select("k1", "k2", "component"), ["k1", "k2"]).select("vec_id", "component"))
+    keys = keys.join(classes, "component").select(
+        "k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "class", F.lit(True).alias("ok")
+    )
     out = rows.select("vec_id", "k1", "k2", "ok").join(keys, ["k1", "k2", "ok"], "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("class", "vec_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id")).withColumn(

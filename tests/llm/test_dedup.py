@@ -74,6 +74,15 @@ def test_near_duplicates_take_awkward_rows(spark):
     assert minhash.near_duplicates(docs(spark, [])).collect() == []
 
 
+def test_ids_on_several_texts_are_one_document(spark):
+    rng = random.Random(8)
+    a, b, c = prose(rng, 50), prose(rng, 50), prose(rng, 50)
+    pairs = [(1, a), (2, a), (2, b), (3, b + " end"), (4, c), (4, c), (5, c), (6, "own"), (6, None)]
+    got = rows(minhash.near_duplicates(docs(spark, pairs), 2))
+    component = {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6}
+    assert got == sorted(((i, len(shingles(t, 2)), component[i], i == component[i]) for i, t in pairs), key=repr)
+
+
 def test_sketches_fill_and_estimate():
     rng = np.random.default_rng(1)
     for n in (1, 3, 400):
@@ -126,10 +135,31 @@ def test_repeats_match_brute_force(spark, shard):
 
 def test_repeats_take_awkward_rows(spark):
     pairs = [(i, t if t is None or len(t) < 50_000 else t[:3000]) for i, t in awkward()]
+    pairs += [(20, "a" * 3000), (21, "a" * 250 + "b"), (22, "-=" * 900), (23, ("a line of forty-two characters, repeated.\n") * 40)]
+    pairs += [(24, prose(random.Random(6), 20)[:170] * 9), (25, prose(random.Random(7), 60)[:500] * 5), (26, "a" * 199), (27, "c" * 201)]
     assert rows(suffixes.without_repeats(clashing(docs(spark, pairs)))) == brute_repeats(pairs, 200)
     assert suffixes.without_repeats(docs(spark, [])).collect() == []
 
 
+def test_long_and_periodic_texts_keep_their_size():
+    for period in ("a", "-=", "a line of forty-two characters, repeated.\n", prose(random.Random(1), 20)[:170], prose(random.Random(2), 9000)):
+        data = np.frombuffer((period * (200_000 // len(period) + 1)).encode(), np.uint8)
+        _, _, first, count, several = suffixes.anchors(data, np.array([0, len(data)]))
+        assert (count + 199).sum() <= 6 * len(data)
+        assert count.sum() == len(data) - 199 and first[0] == 0
+        assert several.any() == (len(period) < 161)
+
+
+def test_texts_longer_than_a_segment(spark):
+    passage = prose(random.Random(3), 60)
+    far = f"{prose(random.Random(4), 200_000)}#{passage}%{prose(random.Random(5), 5000)}${passage}&"
+    assert len(far) > suffixes.SEGMENT + 10_000
+    got = {r["doc_id"]: r for r in suffixes.without_repeats(docs(spark, [(1, "a" * (suffixes.SEGMENT + 50_000)), (2, far)])).collect()}
+    assert (got[1]["n_removed"], got[1]["n_spans"]) == (suffixes.SEGMENT + 50_000, 1)
+    kept = far.replace(passage, "").encode()
+    assert (got[2]["n_removed"], got[2]["n_spans"], got[2]["kept_sha256"]) == (2 * len(passage), 2, hashlib.sha256(kept).hexdigest())
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(2)
     for alphabet in (1, 2, 4):
@@ -159,6 +189,12 @@ def brute_vectors(pairs, threshold=0.9):
     return sorted(((i, degree[n], best.get(i), i is not None and best[i] == i) for n, (i, _) in enumerate(pairs)), key=repr)
 
 
+def test_ids_on_several_vectors(spark):
+    pairs = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.0, 2.0]), (3, [-1.0, 0.0]), (4, [-1.0, 0.0]), (4, [-1.0, 0.0])]
+    found = vectors.near_vectors(spark.createDataFrame([(i, v, 0) for i, v in pairs], VECTOR_SCHEMA))
+    assert rows(found) == brute_vectors(pairs)
+
+
 VECTOR_SCHEMA = "vec_id long, embedding array<float>, label int"
 
 

@@ -321,6 +321,16 @@ def test_pipeline_stages(spark, sf_dir):
     assert {r.doc_id for r in now.collect()} == {r.doc_id for r in corpus_pipeline.run(spark, sf_dir).select("doc_id").collect()}
 
 
+def test_no_text_is_lost_to_its_id(spark, sf_dir):
+    rng = random.Random(11)
+    a, b, c, d = (prose(rng, 80) for _ in range(4))
+    pairs = [(1, a), (2, a), (2, b), (1, a), (3, b + " end"), (4, c), (None, c), (None, d), (None, d), (5, ""), (5, ""), (6, None), (0, c + " end")]
+    kept = corpus_pipeline.drop_near_duplicates(spark, clashing(docs(spark, pairs)), sf_dir)
+    assert kept.columns == clashing(docs(spark, pairs)).columns
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert found == sorted([(1, a), (2, b), (0, c + " end"), (None, d), (5, ""), (6, None)], key=repr)
+
+
 def test_pipeline_takes_awkward_tables(spark):
     place = shared_folder(spark, "tables")
     frame = docs(spark, [*awkward(), (90, VALUES[0] + " " + prose(random.Random(4), 30))])
@@ -328,8 +338,8 @@ def test_pipeline_takes_awkward_tables(spark):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{place}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{place}/benchmark.parquet")
     got = [r.doc_id for r in corpus_pipeline.run(spark, place).collect()]
-    # Copies of 5 (6, 7) and the near copy of 8 (9) go; rows without an id are judged by no group and stay.
-    assert sorted(x for x in got if x is not None) == [1, 2, 3, 4, 5, 5, 8, 10, 11, 12, 13, 90] and got.count(None) == 2
+    # Copies of 5 (6, 7, the repeated row and the one without an id) and the near copy of 8 (9) go.
+    assert sorted(x for x in got if x is not None) == [1, 2, 3, 4, 5, 8, 10, 11, 12, 13, 90] and got.count(None) == 1
     empty = shared_folder(spark, "tables")
     for name, schema in (("documents", DOC_SCHEMA), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{empty}/{name}.parquet")

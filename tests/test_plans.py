@@ -5,6 +5,7 @@ import re
 import pytest
 
 import workloads
+from lapsekit.sources import publish
 from workloads.registry import QUERIES
 
 workloads.load_all()
@@ -109,3 +110,49 @@ def test_folds_accumulate_classes_not_ranges(spark):
     assert len(rows) == 15 and max(r["count"] for r in rows) - min(r["count"] for r in rows) <= 1
     single = [line for line in plan_of(assigned).splitlines() if "SinglePartition" in line]
     assert len(single) <= 1
+
+
+def versions(spark, place):
+    fs, path = publish._place(spark, place)
+    return sorted(s.getPath().getName() for s in fs.listStatus(path))
+
+
+def test_a_published_table_changes_all_at_once(spark, tmp_path, monkeypatch):
+    place = f"file://{tmp_path}/t.parquet"
+    with pytest.raises(FileNotFoundError):
+        publish.read_published(spark, place)
+    publish.publish(spark.range(3), place, "one")
+    publish.publish(publish.read_published(spark, place).union(spark.range(4)), place, "two")
+    assert publish.read_published(spark, place).count() == 7 and publish.pointer(spark, place)["fingerprint"] == "two"
+
+    def stopped(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(publish, "_swap", stopped)
+        with pytest.raises(KeyboardInterrupt):
+            publish.publish(spark.range(100), place, "three")
+    assert publish.read_published(spark, place).count() == 7 and len(versions(spark, place)) == 4
+    publish.publish(spark.range(5), place)
+    assert publish.read_published(spark, place).count() == 5 and len(versions(spark, place)) == 3
+
+
+def test_a_second_run_does_nothing(spark, tmp_path):
+    from lapsekit.plans.runner import run_datasets
+
+    root = f"file://{tmp_path}"
+    spark.range(10).selectExpr("id", "id % 3 as k").write.parquet(f"{root}/in.parquet")
+    spark.range(3).selectExpr("id as k", "id * 10 as v").write.parquet(f"{root}/side.parquet")
+    sets = [
+        {"name": "a", "input": f"{root}/in.parquet", "output": f"{root}/a.parquet", "publish": True, "steps": [{"op": "drop_columns", "cols": "nothing"}]},
+        {"name": "b", "input": "a", "output": f"{root}/b.csv", "publish": True, "steps": [{"op": "join", "right": f"{root}/side.parquet", "on": "k"}]},
+    ]
+    assert run_datasets(spark, sets).unchanged == []
+    again = run_datasets(spark, sets)
+    assert again.unchanged == ["a", "b"] and again.frames["b"].count() == 10
+    spark.range(2).selectExpr("id as k", "id * 7 as v").write.mode("overwrite").parquet(f"{root}/side.parquet")
+    third = run_datasets(spark, sets)
+    assert third.unchanged == ["a"] and third.frames["b"].where("v is null").count() == 3
+    sets[0]["steps"] = []
+    assert run_datasets(spark, sets).unchanged == []
+    assert run_datasets(spark, [{"name": "c", "input": f"{root}/a.parquet", "steps": []}]).frames["c"].count() == 10

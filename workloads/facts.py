@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lapsekit.functions.timing import parse_datetime
 from lapsekit.operators import aggregates, casting, columns, features, folds, models, rows, sampling, stats
 from lapsekit.operators.derive import add_order_lags
+from lapsekit.operators.stats import unpack
 from lapsekit.session import shared_folder
 from lapsekit.sources import files
 from workloads.modelling import CHURN, FOREST, LOGREG, churn_frame, customer_frame
@@ -157,11 +158,19 @@ def approximate_count_facts(spark, d):
     return exact.join(near, "name").select("name", (F.abs(F.col("about") / F.col("n_distinct") - 1) <= 0.12).alias("near"))
 
 
-@query("column_difference", "SELECT 'o_orderkey' AS column_name UNION ALL SELECT 'o_totalprice' FROM orders LIMIT 2")
+@query(
+    "column_difference",
+    """SELECT 'o_orderkey' AS column_name, count(o_orderkey) AS n FROM orders UNION ALL SELECT 'o_totalprice', count(o_totalprice) FROM orders
+       UNION ALL SELECT 'made_up', count(*) FROM orders""",
+)
 def column_difference(spark, d):
+    """Columns that only one of two tables has, with their present values."""
     orders = table(spark, d, "orders")
-    only_left, _ = columns.column_difference(orders, columns.drop_columns(orders, ["o_orderkey", "o_totalprice"]))
-    return orders.limit(1).select(F.explode(F.array(*[F.lit(c) for c in only_left])).alias("column_name"))
+    other = columns.drop_columns(orders, ["o_orderkey", "o_totalprice"]).withColumn("made_up", F.lit(1))
+    only_left, only_right = columns.column_difference(orders, other)
+    counts = [df.agg(*[F.count(c).alias(c) for c in names]) for df, names in ((orders, only_left), (other, only_right))]
+    parts = [unpack(row, [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in row.columns]) for row in counts]
+    return parts[0].unionByName(parts[1])
 
 
 _LABELLED = """(SELECT count(*) AS n FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderstatus = 'F') > 0)

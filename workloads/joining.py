@@ -9,9 +9,9 @@ from workloads.registry import query, table
 
 # Both sides carry null keys and keys without a partner.
 LEFT = """SELECT o_orderkey, o_totalprice AS amount,
-    CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey END AS custkey FROM {orders} WHERE o_orderstatus <> 'P'"""
-RIGHT = """SELECT CASE WHEN c_custkey = 9 THEN NULL ELSE c_custkey END AS custkey, c_mktsegment AS segment,
-    c_acctbal AS amount FROM {customer} WHERE c_acctbal > 0"""
+    CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderstatus = 'P' THEN -o_custkey - 1 ELSE o_custkey END AS custkey FROM {orders}"""
+RIGHT = """SELECT CASE WHEN c_custkey = 9 THEN NULL WHEN c_acctbal <= 0 THEN c_custkey + 1000000000000 ELSE c_custkey END AS custkey,
+    c_mktsegment AS segment, c_acctbal AS amount FROM {customer}"""
 DUCK_LEFT, DUCK_RIGHT = LEFT.replace("{orders}", "orders"), RIGHT.replace("{customer}", "customer")
 
 

@@ -7,10 +7,12 @@ import pytest
 from lapsekit.operators.sampling import sample_fraction
 from lapsekit.plans.runner import RunError, run_datasets
 from lapsekit.session import shared_folder
+from lapsekit.sources import dbapi
 from lapsekit.sources.files import newest_path, read_csv, read_table, read_typed_or_raw, write_table
 from lapsekit.sources.quoted import ends_quoted, read_quoted_csv
 from lapsekit.sources.sql import bind, jdbc_options
 from lapsekit.streaming.rowlocal import clean_stream, write_stream
+from tests import scripted_driver
 
 
 @pytest.fixture
@@ -158,3 +160,50 @@ def test_shared_folder_is_fresh(spark):
 def test_unsafe_parameters_are_refused(value):
     with pytest.raises(ValueError):
         bind("SELECT :x", {"x": value})
+
+
+def test_values_are_bound_by_the_driver():
+    query = "SELECT ':no', x::int, '100%' FROM t WHERE a = :a AND b IN (:b, :a)"
+    values = {"a": "it's; DROP", "b": 3}
+    assert dbapi.bound(query, values) == ("SELECT ':no', x::int, '100%' FROM t WHERE a = ? AND b IN (?, ?)", ["it's; DROP", 3, "it's; DROP"])
+    assert dbapi.bound(query, values, "numeric")[0].endswith("a = :1 AND b IN (:2, :3)")
+    text, given = dbapi.bound(query, values, "pyformat")
+    assert text == "SELECT ':no', x::int, '100%%' FROM t WHERE a = %(a)s AND b IN (%(b)s, %(a)s)" and given == values
+    with pytest.raises(KeyError):
+        dbapi.bound("SELECT :missing", {})
+    with pytest.raises(ValueError):
+        dbapi.bound("SELECT 1", {}, "else")
+
+
+def test_split_ranges_leave_no_row_out():
+    for lower, upper, parts in ((0, 100, 7), (0, 3, 10), (-5, 5, 1), (0.5, 2.5, 4)):
+        found = dbapi.ranges(lower, upper, parts)
+        assert found[0].low is None and found[-1].high is None and len(found) <= parts
+        assert all(a.high == b.low and a.high is not None for a, b in zip(found, found[1:]))
+    with pytest.raises(ValueError):
+        dbapi.ranges(3, 3, 2)
+
+
+def test_filters_become_conditions():
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In, IsNull, StringContains
+    from pyspark.sql.types import LongType, StructType
+
+    options = {"query": "SELECT * FROM t WHERE d > :d;", "connect": "tests.scripted_driver:connect", "url": "shop", "params": '{"d": 1}', "split": '{"column": "id", "lower": 0, "upper": 10, "parts": 2}'}
+    reader = dbapi.DbApiReader(options, StructType().add("id", LongType()).add("odd name", LongType()))
+    left = [StringContains(("n",), "x"), EqualTo(("a", "b"), 1), GreaterThan(("v",), float("nan"))]
+    assert list(reader.pushFilters([EqualTo(("n",), "a' OR 1=1"), In(("v",), (1, 2)), IsNull(("odd name",)), *left])) == left
+    text, values = reader.statement(reader.partitions()[1])
+    assert text == 'SELECT id, "odd name" FROM (SELECT * FROM t WHERE d > ?) q WHERE n = ? AND v IN (?, ?) AND "odd name" IS NULL AND id >= ?'
+    assert values == [1, "a' OR 1=1", 1, 2, 5]
+    scripted_driver.SENT.clear()
+    list(reader.read(reader.partitions()[1]))
+    assert scripted_driver.SENT == [(text, values), "closed"]
+
+
+def test_database_rows_arrive_in_split_tasks(spark, monkeypatch):
+    monkeypatch.setenv("SHOP", "shop")
+    split = {"column": "id", "lower": 0, "upper": 100, "parts": 4}
+    found = dbapi.read_bound(spark, "SELECT * FROM t", "id long, name string", "tests.scripted_driver:connect", "SHOP", split=split)
+    assert found.rdd.getNumPartitions() == 4
+    assert sorted((r["id"] for r in found.collect()), key=lambda i: -1 if i is None else i) == [None, *range(100)]
+    assert [r["id"] for r in found.where("id >= 90 and id < 93").orderBy("id").collect()] == [90, 91, 92]

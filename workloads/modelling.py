@@ -235,3 +235,18 @@ def feature_importance(spark, d):
     frame = churn_frame(spark, d)
     fitted = models.fit(FOREST, frame)
     return models.feature_importance(spark, fitted.model, frame)
+
+
+@query(
+    "dry_run",
+    """SELECT 'rows' AS item, CAST(count(*) AS VARCHAR) AS value FROM customer
+       UNION ALL SELECT 'columns', '5' UNION ALL SELECT 'target', 'c_mktsegment' UNION ALL SELECT 'model', 'rf'
+       UNION ALL SELECT 'numeric_features', 'c_nationkey,c_acctbal' UNION ALL SELECT 'categorical_features', 'c_name'
+       UNION ALL SELECT 'scoring', CASE WHEN count(DISTINCT c_mktsegment) > 2 THEN 'f1_macro,precision_macro,recall_macro,roc_auc_ovr_weighted'
+           ELSE 'f1,precision,recall,roc_auc' END FROM customer""",
+)
+def dry_run(spark, d):
+    """What a fit of the customers' segments would use, over the whole table."""
+    config = {"target": "c_mktsegment", "id_cols": ["c_custkey"], "model": {"name": "rf"}}
+    found = models.dry_run(config, table(spark, d, "customer"), rows=2**31 - 1)
+    return spark.createDataFrame([(k, ",".join(v) if isinstance(v, list) else str(v)) for k, v in found.items()], "item string, value string")

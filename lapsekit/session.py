@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,11 +33,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path in a folder that the driver and all executors can reach.
 
     The folder is the one named by ``spark.checkpoint.dir``; where that is unset it
-    is the session's warehouse. A machine-local folder is never made up here.
+    is the session's warehouse, but not a local one on a cluster. A machine-local folder is never made up here.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        base = spark.conf.get("spark.sql.warehouse.dir", None)
+        one_machine = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+        if not base or (not one_machine and base.startswith(("file:", "/"))):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -10,6 +10,9 @@ from lapsekit.operators.columns import as_list, value_of
 from lapsekit.operators.ordering import order_key
 
 
+_POSITION = "__position"
+
+
 def _group_sum(df: DataFrame, col: str) -> Column:
     """Sum that is 0, not null, for a group without values."""
     wide = isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType))
@@ -38,9 +41,10 @@ def groupby_aggregate(
     plan.update({c: F.min(value_of(df, c)) for c in as_list(min_cols)})
     if first_for_rest:
         rest = [c for c in df.columns if c not in keys and c not in plan]
-        position = order_key(df, order_by) if rest else None
         # A null order value is ignored, which makes this the first non-null value.
-        plan.update({c: F.min_by(F.col(c), F.when(value_of(df, c).isNotNull(), position)) for c in rest})
+        plan.update({c: F.min_by(F.col(c), F.when(value_of(df, c).isNotNull(), F.col(_POSITION))) for c in rest})
+        # The order key is made once per row, not once per column.
+        df = df.withColumn(_POSITION, order_key(df, order_by)) if rest else df
     if not plan:
         return df.select(*keys).distinct()
     return df.groupBy(*keys).agg(*[value.alias(c) for c, value in plan.items()])

@@ -96,19 +96,19 @@ def inactivity_label(
     """
     ts = F.col(ts_col).cast("timestamp_ntz")
     day = F.expr("interval 1 day")
+    # One scan for both ends of the table.
+    span = events.agg(F.struct(F.min(ts).alias("lo"), F.max(ts).alias("hi")).alias("s")).scalar()
     if window_ends is None:
-        span = events.agg(F.struct(F.min(ts).alias("lo"), F.max(ts).alias("hi")).alias("s")).scalar()
         first = F.date_trunc("day", span["lo"]).cast("timestamp_ntz") + day * window_days
         ends = F.sequence(first, F.greatest(first, span["hi"]), day * window_days)
     else:
         ends = F.array(*[F.lit(str(e)).cast("timestamp_ntz") for e in window_ends])
-    latest = events.agg(F.max(ts)).scalar()
     touched = F.filter("__ends", lambda e: (ts >= e - day * window_days) & (ts < e + day * horizon_days))
     seen = (
         events.filter(F.col(user_col).isNotNull())
         .select(F.col(user_col), ts.alias(ts_col), ends.alias("__ends"))
         .select(F.col(user_col), ts.alias("__ts"), F.explode(touched).alias("window_end"))
-        .filter(F.col("window_end") + day * horizon_days <= latest)
+        .filter(F.col("window_end") + day * horizon_days <= span["hi"])
     )
     return (
         seen.groupBy(user_col, "window_end")

@@ -156,3 +156,10 @@ def test_a_second_run_does_nothing(spark, tmp_path):
     sets[0]["steps"] = []
     assert run_datasets(spark, sets).unchanged == []
     assert run_datasets(spark, [{"name": "c", "input": f"{root}/a.parquet", "steps": []}]).frames["c"].count() == 10
+
+
+def test_order_keys_are_made_once_per_row(spark):
+    from lapsekit.operators.aggregates import groupby_aggregate
+
+    df = spark.range(10).selectExpr("id % 3 as k", "id as a", "id as b", "id as c")
+    assert executed(groupby_aggregate(df, "k")).count("xxhash64(") <= 2

@@ -214,9 +214,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
     wanted = materialize(members.select("id").distinct().join(nodes.select("id", "low", *digest), "id"), "wanted")
     texts = only_ids(base, wanted.select(F.col("low").alias("id")).distinct())
     lists = texts.mapInArrow(_sets(shingle), "n_shingles long, d1 long, d2 long, items array<long>")
-    # A repeated id brings other texts and a repeated row the same one: one set per node stays.
-    sets = lists.join(wanted.select("id", *digest), digest).groupBy("id").agg(F.first("items").alias("items"))
-    sets = materialize(sets, "sets")
+    # A repeated id brings other texts and a repeated row the same one: one set per node stays. Lists are shuffled once.
+    sets = lists.groupBy(*digest).agg(F.first("items").alias("items")).join(wanted.select("id", *digest), digest)
+    sets = materialize(sets.select("id", "items"), "sets")
 
     stars = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     links = materialize(_confirmed(stars, sets, threshold), "links")

@@ -26,7 +26,7 @@ from lapsekit.llm.texts import mix, pieces, shingle_sets
 from lapsekit.session import materialize
 
 COORDINATES, BAND = 160, 5
-SMALL, BLOCK_ITEMS = 6, 1 << 20
+SMALL, BLOCK_ITEMS, SLICE_BYTES = 6, 1 << 20, 1 << 20
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -73,7 +73,7 @@ def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
 def _sketches(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", SLICE_BYTES):
                 n = part.num_rows
                 row, value = shingle_sets(part.column("text"), k)
                 size = np.bincount(row, minlength=n)
@@ -102,7 +102,7 @@ def _digests(value: np.ndarray, size: np.ndarray) -> list[pa.Array]:
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", SLICE_BYTES):
                 row, value = shingle_sets(part.column("text"), k)
                 size = np.bincount(row, minlength=part.num_rows)
                 columns = [pa.array(size, pa.int64()), *_digests(value, size), _lists(value, size)]

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lapsekit.llm.texts import flat, mix, pieces
 
-MARKER, ALPHA, SLICE_BYTES = 0x2581, 1.0, 1 << 20
+MARKER, ALPHA, SLICE_BYTES = 0x2581, 1.0, 1 << 18
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _STRANGE = 0x110000  # stands for a marker that the text itself holds
 _BASE = np.uint64(0xD6E8FEB86659FD93)

@@ -10,6 +10,7 @@ with the totals use the same keys, so the rows are shuffled once.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -67,9 +68,13 @@ def _ranked(keyed: DataFrame, offsets: DataFrame, ids: list[str]) -> DataFrame:
 
 
 def _shares(totals: DataFrame, total: Column, test_size: float) -> DataFrame:
-    """Add each class's share of the test rows, its whole part and the remainder."""
-    wanted = F.ceil(F.round(total * float(test_size), 9))
-    shared = totals.withColumn("total", total).withColumn("wanted", wanted).withColumn("share", F.col("n") * F.col("wanted") / F.col("total"))
+    """Add each class's share of the test rows, its whole part and the remainder.
+
+    The share is ``test_size`` of the class, in exact decimals, so no class is a whole row or more off it;
+    the spare rows that ``ceil`` adds go to the largest remainders.
+    """
+    size = F.lit(Decimal(repr(float(test_size))))
+    shared = totals.withColumn("total", total).withColumn("wanted", F.ceil(F.col("total") * size)).withColumn("share", F.col("n") * size)
     return shared.withColumn("base", F.floor("share")).withColumn("rest", F.col("share") - F.col("base"))
 
 

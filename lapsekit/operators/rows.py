@@ -140,13 +140,15 @@ def disambiguate_city_state(
     unchanged if either column is absent.
 
     The ambiguous cities come from a grouped aggregate: a dominant city is merged
-    map-side, never gathered in one window. They are joined back, and the adaptive
-    planner broadcasts them if they turn out to be few. Nothing runs while the plan is built.
+    map-side, never gathered in one window. They are one row per distinct city name,
+    so they are broadcast: a join shuffled by the city would put all rows of a city in
+    one task, and the adaptive planner keeps that shuffle when few or no cities are
+    ambiguous. Nothing runs while the plan is built.
     """
     if city_col not in df.columns or state_col not in df.columns:
         return df
     several = ambiguous_values(df, city_col, state_col).withColumnRenamed(city_col, "__city")
-    marked = several.withColumn("__several", F.lit(True))
+    marked = F.broadcast(several.withColumn("__several", F.lit(True)))
     full_name = F.concat(F.col(city_col).cast("string"), F.lit(suffix_sep), F.col(state_col).cast("string"))
     renamed = F.when(F.col("__several"), full_name).otherwise(F.col(city_col))
     joined = df.join(marked, F.col(city_col) == F.col("__city"), "left")

@@ -119,13 +119,15 @@ def exact_quantiles(
     brackets = _brackets(df, cols, probabilities, accuracy, most)
     if not brackets:
         return df.sparkSession.createDataFrame([], "name string, quantiles array<double>")
+    # Each column is cleaned once, so the bracket tests stay small enough to be compiled.
+    cleaned = df.select(*[_clean(c).alias(f"v{i}") for i, c in enumerate(brackets)])
     rows = [
-        F.struct(F.lit(c).alias("name"), _segment(_clean(c), b).alias("segment"), _clean(c).alias("value"))
-        for c, b in brackets.items()
+        F.struct(F.lit(c).alias("name"), _segment(F.col(f"v{i}"), b).alias("segment"), F.col(f"v{i}").alias("value"))
+        for i, (c, b) in enumerate(brackets.items())
     ]
     inside = F.when(F.col("segment") % 2 == 1, F.col("value"))
     groups = (
-        df.select(F.explode(F.array(*rows)).alias("r"))
+        cleaned.select(F.explode(F.array(*rows)).alias("r"))
         .select("r.*")
         .filter(F.col("value").isNotNull())
         .groupBy("name", "segment", inside.alias("at"))

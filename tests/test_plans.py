@@ -163,3 +163,13 @@ def test_order_keys_are_made_once_per_row(spark):
 
     df = spark.range(10).selectExpr("id % 3 as k", "id as a", "id as b", "id as c")
     assert executed(groupby_aggregate(df, "k")).count("xxhash64(") <= 2
+
+
+def test_quantile_columns_are_cleaned_once(spark):
+    from lapsekit.operators import quantiles
+
+    df = spark.range(2000).selectExpr("CAST(id AS DOUBLE) AS x", "CAST(id % 7 AS DOUBLE) AS y")
+    probabilities = [0.0, 0.001, 0.25, 1 / 3, 0.5, 0.9, 0.999, 1.0]
+    plan = plan_of(quantiles.exact_quantiles(df, ["x", "y"], probabilities, accuracy=100))
+    # Bracket tests on the cleaned values, not a NaN test inlined into each one of them: once per column and read.
+    assert plan.count("isnan(") <= 2 * 2

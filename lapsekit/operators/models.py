@@ -17,7 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lapsekit.operators import metrics as M
 from lapsekit.operators.columns import as_list, feature_types
 from lapsekit.operators.features import preprocessor
-from lapsekit.operators.folds import holdout_split, kfold_assign
+from lapsekit.operators.folds import holdout_split, kfold_assign, range_bits_for
+from lapsekit.operators.forest import Forest
+from lapsekit.plans.sizing import SINGLE_TASK_BYTES, fits
 from lapsekit.session import materialize
 
 LABEL, WEIGHT = "__label", "__weight"
@@ -103,7 +105,7 @@ def _model(name: str, given: dict[str, Any]) -> Estimator:
         defaults = {"n_estimators": 300, "max_depth": 12, "max_features": "sqrt", "random_state": 42}
         # Each row's node per tree is kept between passes rather than found again down every tree;
         # the trees are the same.
-        return RandomForestClassifier(
+        return Forest(
             featuresCol="features", labelCol=LABEL, cacheNodeIds=True, **_renamed({**defaults, **given}, FOREST_PARAMS)
         )
     raise ValueError(f"unknown model: {name!r}")
@@ -270,18 +272,22 @@ def fit(config: Mapping[str, Any], df: DataFrame) -> FittedBaseline:
     """Fit on a stratified training part and evaluate on the held-out rest.
 
     ``predictions`` holds ids, ``y_true``, ``y_pred`` and ``proba_<class>`` of the
-    held-out rows; ``metrics`` holds accuracy, macro scores and the AUC. The split
-    and the scored rows are written once to the shared folder, as both are read
+    held-out rows; ``metrics`` holds accuracy, macro scores and the AUC. The rows, the split
+    and the scored rows are written once to the shared folder, as all are read
     several times.
     """
     target, ids = config["target"], as_list(config.get("id_cols"))
     pipeline, numeric, categorical = build_pipeline(config, df)
+    used = list(dict.fromkeys([*ids, target, *numeric, *categorical, *(config.get("vector_features") or [])]))
+    if not numeric + categorical:
+        used = df.columns
+    # The split reads its rows several times; without ids it hashes all columns.
+    rows = materialize(df.select(*used) if ids else df, "rows")
     parted = holdout_split(
-        df, target, ids, float(config.get("test_size", 0.2)), int(config.get("random_state", 42)), "__test"
+        rows, target, ids, float(config.get("test_size", 0.2)), int(config.get("random_state", 42)), "__test",
+        range_bits_for(df), fits(df, SINGLE_TASK_BYTES),
     )
-    if config.get("target") and numeric + categorical:
-        parted = parted.select(*dict.fromkeys([*ids, target, *numeric, *categorical, *(config.get("vector_features") or []), "__test"]))
-    split = materialize(parted, "split")
+    split = materialize(parted.select(*used, "__test"), "split")
     classes = target_classes(split, target)
     model = fit_pipeline(pipeline, split.filter(~F.col("__test")), target, classes)
     scored = materialize(
